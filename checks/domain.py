@@ -181,6 +181,11 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
 FROM {part} WHERE p_partkey % 5 < 2""",
 }
 
+VIEW_TABLES = (
+    "assigned_product", "customer", "subscribers", "assigned_product_parameter", "product",
+    "customer_sub_type", "assigned_billing_offer", "product_catalog",
+    "product_billing_parameters",
+)
 INPUTS = ("nation", "customer", "part", "orders", "lineitem", "events")
 
 
@@ -190,13 +195,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def domain_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """The named source tables (all by default), normalised as on read."""
-    raw = {name: read(spark, sf_dir, name) for name in INPUTS}
+    wanted = names or tuple(SOURCES)
+    raw = {
+        key: read(spark, sf_dir, key) for key in INPUTS
+        if any("{" + key + "}" in SOURCES[name] for name in wanted)
+    }
 
     def table(name: str) -> DataFrame:
         used = {key: df for key, df in raw.items() if "{" + key + "}" in SOURCES[name]}
         return normalise(spark.sql(SOURCES[name], **used), name)
 
-    return {name: table(name) for name in names or SOURCES}
+    return {name: table(name) for name in wanted}
 
 
 def domain_ctes(*names: str) -> str:

@@ -13,7 +13,9 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import planledger
-from checks.domain import AS_OF, CLOSE_TS, PERIOD, RUN_TS, domain_tables, read
+from checks.domain import (
+    AS_OF, CLOSE_TS, PERIOD, RUN_TS, VIEW_TABLES, domain_tables, read,
+)
 from planledger.contracts import normalise_keys
 from planledger.functions import calendar, labels, pricing, text
 from planledger.operators import filters, joins, reduce
@@ -212,12 +214,12 @@ def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def charges_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return charges.charges_view(domain_tables(spark, sf_dir), AS_OF)
+    return charges.charges_view(domain_tables(spark, sf_dir, *VIEW_TABLES), AS_OF)
 
 
 @query
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = charges.charges_view(domain_tables(spark, sf_dir), AS_OF)
+    view = charges.charges_view(domain_tables(spark, sf_dir, *VIEW_TABLES), AS_OF)
     return filters.base_rows(view, hidden=("D", "PARA"))
 
 
@@ -484,14 +486,17 @@ def _double(df: DataFrame) -> DataFrame:
 
 @query
 def daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _double(planledger.daily_snapshot(domain_tables(spark, sf_dir), AS_OF, RUN_TS))
+    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily"])
+    return _double(planledger.daily_snapshot(tables, AS_OF, RUN_TS))
 
 
 @query
 def monthly_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _double(planledger.monthly_close(domain_tables(spark, sf_dir), PERIOD, CLOSE_TS))
+    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["monthly"])
+    return _double(planledger.monthly_close(tables, PERIOD, CLOSE_TS))
 
 
 @query
 def daily_snapshot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _double(planledger.daily_snapshot_v2(domain_tables(spark, sf_dir), AS_OF))
+    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily-v2"])
+    return _double(planledger.daily_snapshot_v2(tables, AS_OF))

@@ -7,7 +7,7 @@ columns are nullable. ``KEY`` marks the columns that are trimmed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 KEY = "key"
 MONEY = "decimal(18,2)"
@@ -96,13 +96,12 @@ def normalise(df: DataFrame, table: str, partitions: tuple[str, ...] = ()) -> Da
     """
     actual = {name.lower(): kind for name, kind in df.dtypes}
 
-    def column(name: str, kind: str) -> Column:
-        col = F.col(name)
+    def column(name: str, kind: str) -> str:
         if kind == KEY:
-            col = F.trim(col.cast("string"))
-        elif actual[name] != kind:
-            col = col.try_cast(kind)
-        return col.alias(name)
+            return f"trim(cast({name} AS string)) AS {name}"
+        if actual[name] == kind:
+            return f"{name} AS {name}"
+        return f"try_cast({name} AS {kind}) AS {name}"
 
     columns = [column(name, kind) for name, kind in TABLES[table].items()]
-    return df.select(*columns, *[F.col(name).alias(name) for name in partitions])
+    return df.selectExpr(*columns, *partitions)

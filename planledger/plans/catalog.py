@@ -44,23 +44,31 @@ def plan_catalog(
     """Description, creation date, charges of four kinds and list flags per plan.
 
     A charge kind without rows stays null. ``charges`` are the billing
-    parameters in force and ``value`` reads the amount of one of them.
+    parameters in force and ``value`` reads the amount of one of them. The
+    end-of-cycle list may be missing from ``tables``.
     """
-    return gather(
+    parts = [
         products(tables["product"], (KEY, "product_desc")),
         tables["product_catalog"].select(KEY, "product_valid_from_date"),
         charges.select(KEY, *[F.when(rule, value).alias(kind) for kind, rule in kind_rules.items()]),
-        tables["cycle_discounts"].select(
-            KEY,
-            F.col("product_desc").alias("cycle_desc"),
-            F.col("product_desc").isNotNull().alias("in_cycle"),
-        ),
         tables["plan_list"].select(
             KEY,
             F.lit(True).alias("in_ppu"),
             F.col("descripcion").isNotNull().alias("in_ppu_named"),
         ),
-    ).filter(F.col(KEY).isNotNull())
+    ]
+    if "cycle_discounts" in tables:
+        parts.append(tables["cycle_discounts"].select(
+            KEY,
+            F.col("product_desc").alias("cycle_desc"),
+            F.col("product_desc").isNotNull().alias("in_cycle"),
+        ))
+    catalog = gather(*parts).filter(F.col(KEY).isNotNull())
+    if "cycle_discounts" in tables:
+        return catalog
+    return catalog.withColumns({
+        "cycle_desc": F.lit(None).cast("string"), "in_cycle": F.lit(None).cast("boolean"),
+    })
 
 
 def promo_catalog_v2(tables: dict[str, DataFrame], params: DataFrame) -> DataFrame:

@@ -112,9 +112,7 @@ def _report(
         source[f"TIPO_DSC_PUNTUAL_{k}"] = f"kind_{k}"
         source[f"DSC_FECHA_INICIO_{k}"] = f"inicio_{k}"
         source[f"DSC_FECHA_FIN_{k}"] = f"fin_{k}"
-    return flagged.select(
-        *[F.col(source.get(name, name)).alias(name) for name in REPORT_COLUMNS]
-    )
+    return flagged.selectExpr(*[f"{source.get(name, name)} AS {name}" for name in REPORT_COLUMNS])
 
 
 def daily_snapshot(
@@ -194,12 +192,17 @@ def monthly_close(
     )
     shown = [name for name in lines.columns if name != SUBSCRIBER]
     shown += ["product_valid_from_date", "in_cycle", "in_ppu"]
+    # Lines without a subscriber form one row that no list matches.
+    known = F.col(SUBSCRIBER).isNotNull()
     base = (
         lookup_join(lines, catalog, "product_key", "left", cfg.lookup_max_bytes)
         .groupBy(SUBSCRIBER)
         .agg(
             F.max(F.struct(*shown)).alias("line"),
-            *[F.coalesce(F.max(kind), F.lit(0)).alias(kind) for kind in C.CHARGE_KINDS],
+            *[
+                F.coalesce(F.max(F.when(known, F.col(kind))), F.lit(0)).alias(kind)
+                for kind in C.CHARGE_KINDS
+            ],
         )
         .select(SUBSCRIBER, "line.*", *C.CHARGE_KINDS)
     )
@@ -220,7 +223,7 @@ def monthly_close(
         unique=True,
         max_bytes=cfg.lookup_max_bytes,
     ))
-    wide = base.filter(F.col(SUBSCRIBER).isNotNull())
+    wide = base
     for part in (discounts, promos, billed_month(tables["billing_detail"], period)):
         wide = enrich(wide, part, SUBSCRIBER)
     wide = wide.withColumn("arpu", to_int(F.coalesce("arpu", F.lit(0))))

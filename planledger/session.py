@@ -22,6 +22,8 @@ def build_session(app: str = "planledger", master: str | None = None, **conf: st
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Without call-site capture for every column the plans build much faster.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from planledger.contracts import TABLES, ddl, normalise
+from planledger.contracts import normalise
 
 SNAPSHOT_COLUMNS = ("year", "month", "day")
 
+_SHARED = (
+    "assigned_product", "assigned_product_parameter", "product", "assigned_billing_offer",
+    "product_catalog", "product_billing_parameters", "billing_detail", "cycle_discounts",
+    "plan_list",
+)
+_PEOPLE = ("customer", "subscribers", "customer_sub_type", "parc_kfactor")
+
+# The tables each report reads.
+JOB_TABLES = {
+    "daily": (*_SHARED, *_PEOPLE, "parc_sist"),
+    "monthly": (*_SHARED, "parc_coliving"),
+    "daily-v2": (*_SHARED, *_PEOPLE),
+}
+
 
 def read_table(
     spark: SparkSession, root: str, name: str, partitions: tuple[str, ...] = ()
@@ -91,34 +103,25 @@ def read_jdbc(
 def read_domain(
     spark: SparkSession,
     root: str,
-    plan_list_path: str | None = None,
+    names: tuple[str, ...],
     period: str | None = None,
+    plan_list_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All tables of the snapshots found under one root folder.
+    """The named source tables found under one root folder.
 
     The parcs are dated by partition: the daily one is read at its latest date,
-    the monthly one at day 1 of ``period`` (left out when no period is given).
+    the monthly one at day 1 of ``period``. The plan list is a CSV file.
     """
-    plain = [
-        name for name in TABLES
-        if name not in ("parc_kfactor", "parc_coliving", "plan_list", "discount_offers")
-    ]
-    tables = {name: read_table(spark, root, name) for name in plain}
-    kfactor = read_table(spark, root, "parc_kfactor", SNAPSHOT_COLUMNS)
-    tables["parc_kfactor"] = latest_partition(kfactor).drop(*SNAPSHOT_COLUMNS)
-    tables["plan_list"] = read_plan_list(
-        spark, plan_list_path or f"{root.rstrip('/')}/plan_list.csv"
-    )
-    if period:
-        coliving = read_table(spark, root, "parc_coliving", SNAPSHOT_COLUMNS)
-        tables["parc_coliving"] = period_partition(coliving, period).drop(*SNAPSHOT_COLUMNS)
-    return tables
-
-
-def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    """A table without rows, for sources that do not exist."""
-    return spark.createDataFrame([], ddl(name))
-
 
-def run_date(text: str) -> date:
-    return date.fromisoformat(text)
+    def table(name: str) -> DataFrame:
+        if name == "plan_list":
+            return read_plan_list(spark, plan_list_path or f"{root.rstrip('/')}/plan_list.csv")
+        if name == "parc_kfactor":
+            dated = read_table(spark, root, name, SNAPSHOT_COLUMNS)
+            return latest_partition(dated).drop(*SNAPSHOT_COLUMNS)
+        if name == "parc_coliving":
+            dated = read_table(spark, root, name, SNAPSHOT_COLUMNS)
+            return period_partition(dated, period).drop(*SNAPSHOT_COLUMNS)
+        return read_table(spark, root, name)
+
+    return {name: table(name) for name in names}
