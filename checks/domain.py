@@ -119,17 +119,18 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
 FROM {part}""",
     "product_billing_parameters": "\nUNION ALL\n".join([
         _pbp("'Cargo Fijo Datos'", "Rate",
-             "cast(cast(floor(p_retailprice) AS int) * p_size AS string)", "p_partkey % 13 <> 0"),
+             "cast(cast(floor(p_retailprice) AS int) * p_size AS string)", "p_type <> 'ECONOMY'"),
         _pbp("' Cargo Fijo Voz '", "Rate",
-             "cast(cast(floor(p_retailprice) AS int) + p_size AS string)", "p_partkey % 3 <> 0"),
+             "cast(cast(floor(p_retailprice) AS int) + p_size AS string)",
+             "p_type IN ('PROMO', 'SMALL', 'STANDARD', 'MEDIUM')"),
         _pbp("'Descuento Multiproducto Datos'", "Discount value",
-             "cast(p_size * 3 AS string)", "p_partkey % 2 = 0"),
+             "cast(p_size * 3 AS string)", "p_type IN ('PROMO', 'SMALL', 'LARGE')"),
         _pbp("'Descuento Multiproducto Voz'", "Discount value",
-             "cast(p_size * 25 AS string)", "p_partkey % 3 <> 1"),
+             "cast(p_size * 25 AS string)", "p_type NOT IN ('LARGE', 'MEDIUM')"),
         _pbp("'Descuento Promocional Datos'", "Discount value",
              "CASE WHEN p_size % 10 = 0 THEN '0' ELSE cast(p_size * 2 AS string) END",
-             "p_partkey % 3 <> 0"),
-        _pbp("'Descuento Promocional Datos'", "Discount type", "'Percent'", "p_partkey % 4 <> 0"),
+             "p_type <> 'STANDARD'"),
+        _pbp("'Descuento Promocional Datos'", "Discount type", "'Percent'", "p_size > 10"),
     ]),
     "billing_detail": """
 SELECT cast(user_id AS string) AS subscriber_key,
@@ -168,17 +169,17 @@ SELECT concat(cast(o_custkey AS string), ' ') AS subscriber_key,
        concat('Plan ', cast(l_partkey AS string)) AS product_desc,
        CASE WHEN l_linenumber = 1 THEN 'VOZ' ELSE 'BAM' END AS product,
        'AMD' AS sistema_origen,
-       CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS valid_ind,
+       CASE WHEN l_returnflag <> 'A' AND l_linenumber IN (1, 7) THEN 1 ELSE 0 END AS valid_ind,
        cast('2024-01-31' AS date) AS close_date,
        cast(o_orderdate AS date) AS gain_date_access_mngctr
-FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey WHERE l_linenumber IN (1, 7)""",
+FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey""",
     "cycle_discounts": """
 SELECT concat('P', cast(p_partkey AS string)) AS product_key, p_name AS product_desc
-FROM {part} WHERE p_partkey % 7 = 0""",
+FROM {part} WHERE p_type = 'PROMO'""",
     "plan_list": """
 SELECT concat('P', cast(p_partkey AS string)) AS product_key,
        CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS descripcion
-FROM {part} WHERE p_partkey % 5 < 2""",
+FROM {part} WHERE p_type IN ('SMALL', 'MEDIUM')""",
 }
 
 VIEW_TABLES = (

@@ -79,9 +79,8 @@ WHERE o_orderstatus NOT IN ('P') AND c_mktsegment = 'BUILDING' AND c_nationkey I
 SELECT c_custkey, c_name, n_name, r_name,
        CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'Hogar' ELSE c_mktsegment END AS segment
 FROM customer LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey
-WHERE c_acctbal > 0 AND c_custkey % 10 <> 3 AND c_custkey % 9 NOT IN (4, 5)
-  AND c_mktsegment IN ('HOUSEHOLD', 'FURNITURE', 'BUILDING') AND c_nationkey < 18
-  AND c_custkey % 6 <> 1""",
+WHERE c_acctbal > 0 AND c_acctbal <= 9000 AND c_nationkey NOT IN (4, 5, 6)
+  AND c_mktsegment IN ('HOUSEHOLD', 'FURNITURE', 'BUILDING') AND c_nationkey < 18""",
     "live_products": f"""
 SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') AND o_orderstatus IN ('O', 'F')
@@ -97,7 +96,7 @@ SELECT DISTINCT o_custkey, p_partkey AS product_key,
        ELSE CAST(l_shipdate AS DATE) + p_size END AS fin
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 WHERE l_linenumber IN (1, 2, 3) AND l_returnflag IN ('A', 'N') AND l_shipdate > {DAY}
-  AND o_orderdate > {DAY} AND p_partkey % 4 = 1 AND p_partkey % 3 <> 0""",
+  AND o_orderdate > {DAY} AND p_size > 20 AND p_type <> 'SMALL'""",
     "parc_base": """
 SELECT o_custkey, o_orderkey, p_partkey, p_name,
        strftime(DATE '2018-01-01' + p_size, '%Y%m%d') AS created,

@@ -75,10 +75,10 @@ def eligible_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def business_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read(spark, sf_dir, "customer").withColumns({
         "kind": F.when(F.col("c_acctbal") > 0, "C").otherwise("R"),
-        "rut": F.when(F.col("c_custkey") % 10 == 3, "#").otherwise(F.col("c_name")),
-        "dml": F.when(F.col("c_custkey") % 9 == 4, "DELETE").when(
-            F.col("c_custkey") % 9 == 5, None).otherwise("UPDATE"),
-        "phone": F.when(F.col("c_custkey") % 6 == 1, F.col("c_name")).otherwise(_key("c_custkey")),
+        "rut": F.when(F.col("c_acctbal") > 9000, "#").otherwise(F.col("c_name")),
+        "dml": F.when(F.col("c_nationkey") == 4, "DELETE").when(
+            F.col("c_nationkey") == 5, None).otherwise("UPDATE"),
+        "phone": F.when(F.col("c_nationkey") == 6, F.col("c_name")).otherwise(_key("c_custkey")),
         "status": _key("c_nationkey"),
     })
     kept = filters.business_customers(
@@ -130,9 +130,9 @@ def promo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("l_orderkey", F.col("l_partkey").alias("product_key"), _day("l_shipdate").alias("start"))
     part = read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_key"),
-        F.concat("p_name", F.when(F.col("p_partkey") % 4 == 0, " 10% SMS")
-                 .when(F.col("p_partkey") % 4 == 1, " 20%").otherwise("")).alias("product_desc"),
-        F.when(F.col("p_partkey") % 3 == 0, "Percent").otherwise(_key("p_size")).alias("value"),
+        F.concat("p_name", F.when(F.col("p_size") < 10, " 10% SMS")
+                 .when(F.col("p_size") > 20, " 20%").otherwise("")).alias("product_desc"),
+        F.when(F.col("p_type") == "SMALL", "Percent").otherwise(_key("p_size")).alias("value"),
         F.when(F.col("p_type") == "PROMO", "M").otherwise("D").alias("interval"),
         F.col("p_size").alias("duration"),
     )
