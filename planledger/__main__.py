@@ -23,6 +23,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--out", required=True, help="folder to overwrite")
     common.add_argument("--files", type=int, help="number of output files (default: as computed)")
+    common.add_argument("--shuffle-partitions", type=int, help="bytes of the largest shuffle / 200 MB")
     report = argparse.ArgumentParser(add_help=False, parents=[common])
     report.add_argument("--root", required=True, help="folder holding the source tables")
     report.add_argument("--plan-list", help="CSV file of the pay-per-use plans")
@@ -66,4 +67,7 @@ def run(spark, args: argparse.Namespace) -> None:
 
 if __name__ == "__main__":
     arguments = parse_args()
-    run(build_session(f"planledger-{arguments.job}"), arguments)
+    session = build_session(
+        f"planledger-{arguments.job}", shuffle_partitions=arguments.shuffle_partitions
+    )
+    run(session, arguments)

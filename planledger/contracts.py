@@ -88,8 +88,8 @@ def normalise_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({key: F.trim(F.col(key).cast("string")) for key in keys})
 
 
-def normalise(df: DataFrame, table: str, partitions: tuple[str, ...] = ()) -> DataFrame:
-    """Select the contract's columns in its types, plus the ``partitions``.
+def normalise(df: DataFrame, table: str) -> DataFrame:
+    """Select the contract's columns in its types.
 
     A column that already has its type passes through untouched, so that
     filters on it still reach the parquet reader.
@@ -104,4 +104,4 @@ def normalise(df: DataFrame, table: str, partitions: tuple[str, ...] = ()) -> Da
         return f"try_cast({name} AS {kind}) AS {name}"
 
     columns = [column(name, kind) for name, kind in TABLES[table].items()]
-    return df.selectExpr(*columns, *partitions)
+    return df.selectExpr(*columns)

@@ -6,29 +6,42 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-
-def build_session(app: str = "planledger", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the results rely on (UTC, ANSI) and AQE.
-
-    Partition counts are left to AQE: it coalesces small shuffles, splits
-    skewed ones and turns a join into a broadcast join once the real size of a
-    side is known. A cluster's own settings win over these.
+# Used where neither the cluster nor the caller has set them.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def build_session(
+    app: str = "planledger",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with adaptive execution.
+
+    AQE merges small shuffle partitions and splits skewed ones but never starts
+    with more than the configured number, so large inputs need
+    ``shuffle_partitions``: the bytes of the largest shuffle / 200 MB.
     """
+    # Without call-site capture for every column the plans build much faster.
+    conf.setdefault("spark.python.sql.dataFrameDebugging.enabled", "false")
+    if shuffle_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Without call-site capture for every column the plans build much faster.
-        "spark.python.sql.dataFrameDebugging.enabled": "false",
-        **conf,
-    }
-    for key, value in settings.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,6 +55,4 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="planledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="planledger-")

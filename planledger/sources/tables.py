@@ -23,15 +23,51 @@ JOB_TABLES = {
 }
 
 
-def read_table(
-    spark: SparkSession, root: str, name: str, partitions: tuple[str, ...] = ()
-) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of ``root`` with its contract's columns, normalised.
 
     Only the selected columns are read from the files, and filters on non-key
     columns are pushed to the parquet reader.
     """
-    return normalise(spark.read.parquet(f"{root.rstrip('/')}/{name}"), name, partitions)
+    return normalise(spark.read.parquet(f"{root.rstrip('/')}/{name}"), name)
+
+
+def dated_folders(
+    spark: SparkSession,
+    root: str,
+    wanted: tuple[int, ...] | None = None,
+    columns: tuple[str, ...] = SNAPSHOT_COLUMNS,
+) -> list[str]:
+    """The partition folders of one date, the latest unless ``wanted`` names it.
+
+    One directory listing per level, so a long history is neither listed nor
+    opened. Values compare as numbers; a date stored under a padded and an
+    unpadded name gives both folders.
+    """
+    folders = [root.rstrip("/")]
+    for level, column in enumerate(columns):
+        found: dict[int, list[str]] = {}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            for status in fs.listStatus(path):
+                name, _, value = status.getPath().getName().partition("=")
+                if name == column and value.isdigit():
+                    found.setdefault(int(value), []).append(status.getPath().toString())
+        key = wanted[level] if wanted else max(found, default=None)
+        if key not in found:
+            raise FileNotFoundError(f"no partition {column}={key} under {root}")
+        folders = found[key]
+    return folders
+
+
+def read_dated(
+    spark: SparkSession, root: str, name: str, period: str | None = None, day: int = 1
+) -> DataFrame:
+    """A table partitioned by year, month and day at one date: the latest, or day ``day`` of ``period``."""
+    wanted = (int(period[:4]), int(period[4:6]), day) if period else None
+    folders = dated_folders(spark, f"{root.rstrip('/')}/{name}", wanted)
+    return normalise(spark.read.parquet(*folders), name)
 
 
 def latest_partition(df: DataFrame, columns: tuple[str, ...] = SNAPSHOT_COLUMNS) -> DataFrame:
@@ -39,7 +75,8 @@ def latest_partition(df: DataFrame, columns: tuple[str, ...] = SNAPSHOT_COLUMNS)
 
     The tuple is compared as numbers, so month 10 follows month 9 however the
     folders are padded. On a partitioned table the subquery reads no data
-    columns and its result prunes the scan to one folder.
+    columns and its result prunes the scan to one folder. For files with a long
+    history ``read_dated`` is cheaper: it never lists the other dates.
     """
     numbers = F.struct(*[F.col(name).cast("int").alias(name) for name in columns])
     latest = df.select(F.max(numbers))
@@ -117,11 +154,9 @@ def read_domain(
         if name == "plan_list":
             return read_plan_list(spark, plan_list_path or f"{root.rstrip('/')}/plan_list.csv")
         if name == "parc_kfactor":
-            dated = read_table(spark, root, name, SNAPSHOT_COLUMNS)
-            return latest_partition(dated).drop(*SNAPSHOT_COLUMNS)
+            return read_dated(spark, root, name)
         if name == "parc_coliving":
-            dated = read_table(spark, root, name, SNAPSHOT_COLUMNS)
-            return period_partition(dated, period).drop(*SNAPSHOT_COLUMNS)
+            return read_dated(spark, root, name, period)
         return read_table(spark, root, name)
 
     return {name: table(name) for name in names}

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import physical_plan, values
+from fixture_domain import frame
 from planledger.__main__ import parse_args, run
 from planledger.plans.ingest import ingest_cycle_discounts
-from planledger.session import shared_folder
+from planledger.session import build_session, shared_folder
 from planledger.sources import sinks, tables
 
 
@@ -38,6 +39,22 @@ def test_padded_folder_names(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in scan
 
 
+def test_dated_folders_list_one_date(spark, tmp_path):
+    root = tmp_path / "parc_kfactor"
+    rows = {("2023", "12", "31"): "a", ("2024", "9", "28"): "b", ("2024", "10", "1"): "c",
+            ("2024", "10", "01"): "d"}
+    for (year, month, day), value in rows.items():
+        frame(spark, "parc_kfactor", [{"subscriber_key": value}]).write.parquet(
+            str(root / f"year={year}" / f"month={month}" / f"day={day}"))
+    (root / "year=2024" / "_SUCCESS").touch()
+    latest = tables.read_dated(spark, str(tmp_path), "parc_kfactor")
+    assert [row[0] for row in values(latest)] == ["c", "d"]
+    older = tables.read_dated(spark, str(tmp_path), "parc_kfactor", "202409", day=28)
+    assert [row[0] for row in values(older)] == ["b"]
+    with pytest.raises(FileNotFoundError):
+        tables.read_dated(spark, str(tmp_path), "parc_kfactor", "202408")
+
+
 def test_read_table_prunes_columns_and_pushes_filters(spark, tmp_path):
     spark.createDataFrame(
         [(" 1", "x", "M", 2, "unused")],
@@ -104,3 +121,12 @@ def test_ingest_drops_unknown_and_nameless(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_cluster_settings_win(spark):
+    """The session's own settings are not replaced by the defaults."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    again = build_session("again", shuffle_partitions=64)
+    assert again.conf.get("spark.sql.shuffle.partitions") == before
+    assert again.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "64"
+    again.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
