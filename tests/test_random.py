@@ -69,7 +69,7 @@ def write_tables(root, seed):
         pq.write_table(pa.table(columns), f"{root}/{name}.parquet")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_reports_match_the_long_form(spark, tmp_path, seed):
     write_tables(tmp_path, seed)
     con = connect(str(tmp_path))
