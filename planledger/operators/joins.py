@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -107,10 +105,3 @@ def lookup_join(
     if fits(lookup, max_bytes):
         return df.join(F.broadcast(lookup), on, how)
     return split_join(df, lookup, on, how)
-
-
-def chain(base: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Apply frame-to-frame steps in order."""
-    for step in steps:
-        base = step(base)
-    return base

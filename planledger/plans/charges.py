@@ -129,6 +129,7 @@ def best_plans(
     offered = valued.groupBy(*pair).agg(
         F.max(F.when(own, fields)).alias("own"), F.max(F.when(~own, fields)).alias("other")
     )
+    # At most the two product keys that ``assigned`` was filtered by.
     held = assigned.groupBy(*pair).agg(F.collect_set("product_key").alias("assigned_keys"))
     candidates = (
         held.join(offered, pair, "left")
