@@ -12,10 +12,11 @@ from conftest import SF, physical_plan, values
 from checks.domain import CLOSE_TS, PERIOD, RUN_TS, domain_tables
 from checks.domain import AS_OF as DRIVER_DAY
 from fixture_domain import AS_OF, product, offer, frame, tables
+from planledger.__main__ import parse_args, run
 from planledger.contracts import normalise
 from planledger.plans.charges import charges_view
 from planledger.plans.snapshots import REPORT_COLUMNS
-from planledger.sources.tables import JOB_TABLES, read_domain
+from planledger.sources.tables import JOB_TABLES
 
 RUN = datetime(2024, 1, 15, 6, 0, 0)
 CLOSE = datetime(2024, 2, 3, 6, 0, 0)
@@ -230,7 +231,7 @@ def test_report_plans(spark, domain, conf, job):
 
 
 @pytest.mark.parametrize("job", REPORTS)
-def test_reports_from_files(spark, domain, tmp_path, job):
+def test_reports_by_command_line(spark, domain, tmp_path, job):
     root = str(tmp_path)
     for name in JOB_TABLES[job]:
         df = domain[name]
@@ -245,8 +246,13 @@ def test_reports_from_files(spark, domain, tmp_path, job):
             both.write.partitionBy("year", "month", "day").parquet(f"{root}/{name}")
             continue
         df.write.parquet(f"{root}/{name}")
-    read = read_domain(spark, root, JOB_TABLES[job], "202401")
     report, _, _ = REPORTS[job]
     args = {"daily": (AS_OF, RUN), "monthly": ("202401", CLOSE), "daily-v2": (AS_OF,)}[job]
-    assert values(report(read, *args), "SUBSCRIBER_KEY") == values(
-        report(domain, *args), "SUBSCRIBER_KEY")
+    command = [job] + (["202401"] if job == "monthly" else ["--as-of", str(AS_OF)])
+    out = f"{root}/report"
+    run(spark, parse_args([*command, "--root", root, "--out", out, "--table", "report_table"]))
+    written = spark.table("report_table")
+    assert tuple(written.columns) == REPORT_COLUMNS
+    assert values(written.drop("FECHA_PROC"), "SUBSCRIBER_KEY") == values(
+        report(domain, *args).drop("FECHA_PROC"), "SUBSCRIBER_KEY")
+    spark.sql("DROP TABLE report_table")
