@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
+from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
 
@@ -33,6 +35,20 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, n=3, percent=85)
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, _table(spark, sf_dir, "labels"), usable=~held_out())
+    return score_quality(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack_documents(docs, _tokenizer("word_bpe_49k.json"), keep_ids=False)
@@ -55,7 +71,9 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece,
+    "op3_near_dedup": near_dedup,
     "op4_packing": packing,
+    "op7_quality": quality,
     "op8_secret_scan": secret_scan,
 }
 #: Queries that SQL can express on whole tables.
