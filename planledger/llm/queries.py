@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from planledger.llm.line_templates import LINE_DEDUP_SQL, dedup_lines
 from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
 from planledger.llm.quality import fit, held_out, score_quality
@@ -35,6 +36,11 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_duplicates(docs, n=3, percent=85)
@@ -71,10 +77,13 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece,
+    "op2_line_dedup": line_dedup,
     "op3_near_dedup": near_dedup,
     "op4_packing": packing,
     "op7_quality": quality,
     "op8_secret_scan": secret_scan,
 }
 #: Queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_line_dedup": LINE_DEDUP_SQL,
+}
