@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from planledger.llm.exact_topk import exact_top_k
 from planledger.llm.line_templates import LINE_DEDUP_SQL, dedup_lines
 from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
+from planledger.llm.vantage import nearest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +62,14 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, _tokenizer("word_bpe_49k.json"), keep_ids=False)
 
 
+def exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 BASE_KINDS = ("assign", "access", "hex")
 
 
@@ -80,6 +90,8 @@ QUERIES = {
     "op2_line_dedup": line_dedup,
     "op3_near_dedup": near_dedup,
     "op4_packing": packing,
+    "op5_exact_topk": exact_search,
+    "op6_vantage_points": vantage_search,
     "op7_quality": quality,
     "op8_secret_scan": secret_scan,
 }
