@@ -256,15 +256,12 @@ def encode_text(docs: DataFrame, pieces: Pieces, text: str = "text", ids: str =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, stops, behind = [], [np.zeros(1, np.int64)], 0
-            for part, stop in shared.value.encode(batch.column(batch.schema.get_field_index(text))):
-                flat.append(part)
-                stops.append(stop + behind)
-                behind += len(part)
-            column = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(stops).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *flat]))
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
+            first = 0
+            for flat, stops in shared.value.encode(batch.column(batch.schema.get_field_index(text))):
+                own = batch.slice(first, len(stops))
+                column = pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*own.columns, column], names=[*batch.schema.names, ids])
+                first += len(stops)
 
     kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema] + [f"`{ids}` array<int>"])
     return own.mapInArrow(encode, kinds)
