@@ -8,10 +8,12 @@ from planledger.llm.exact_topk import exact_top_k
 from planledger.llm.line_templates import LINE_DEDUP_SQL, dedup_lines
 from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
+from planledger.llm.preferences import PREFERENCES_SQL, format_preferences
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
 from planledger.llm.vantage import nearest
+from planledger.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,27 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no preferences: of neighbours 2p and 2p + 1, the first counts as chosen."""
+    said = _table(spark, sf_dir, "conversations")
+    turns = said.select(
+        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
+        F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"),
+        "turn", "role", "text",
+    )
+    spans = lambda name: F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(name)
+    return format_preferences(turns).select(
+        "pair_id", "n_prompt_turns",
+        *[F.md5(name).alias(f"{name}_md5") for name in ("prompt", "chosen", "rejected")],
+        spans("chosen_spans"), spans("rejected_spans"),
+    )
+
+
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_pages(_table(spark, sf_dir, "pages"), keep_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_sentencepiece": sentencepiece,
     "op2_line_dedup": line_dedup,
@@ -94,8 +117,11 @@ QUERIES = {
     "op6_vantage_points": vantage_search,
     "op7_quality": quality,
     "op8_secret_scan": secret_scan,
+    "op9_preferences": preferences,
+    "op10_warc": warc,
 }
 #: Queries that SQL can express on whole tables.
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP_SQL,
+    "op9_preferences": PREFERENCES_SQL,
 }
