@@ -1,4 +1,4 @@
-"""Clean and pack a corpus: stages from documents to packed sequences.
+"""Clean and pack a corpus: five stages from documents to packed sequences.
 
 Each stage takes (spark, docs, sf_dir); its result is written and read again as
 the docs of the next one. All but the last return the columns of ``documents``.
@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from planledger.llm.line_templates import dedup_lines
+from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
+from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import redact_secrets
 from planledger.llm.storage import saved
 
@@ -20,6 +23,27 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below one half go. Learns from the labels of documents not held out."""
+    own = docs.select(*COLUMNS)
+    model = fit(own, spark.read.parquet(f"{sf_dir}/labels.parquet"), usable=~held_out())
+    return score_quality(own, model).filter("score >= 0.5").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go from all documents but the first; a document goes with its last line."""
+    found = dedup_lines(docs.select(*COLUMNS))
+    emptied = (F.col("n_dropped") > 0) & (F.trim(F.col("text"), F.lit(" \n\t\r")) == "")
+    return _documents(found.filter(~emptied))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    own = docs.select(*COLUMNS)
+    gone = near_duplicates(own).filter(~F.col("kept")).select(F.col("doc").alias("doc_id")).distinct()
+    return own.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write a placeholder over every secret; no document goes."""
     return _documents(redact_secrets(docs.select(*COLUMNS)))
@@ -33,7 +57,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs.select("doc_id", "text"), path)
 
 
-STAGES = [("secret_scan", secrets), ("packing", pack)]
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secrets),
+    ("packing", pack),
+]
 #: Tokenizing and the classifier are beyond SQL.
 ORACLE_SQL: str | None = None
 
