@@ -194,9 +194,11 @@ def _large_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     by_token = left.join(right, "s").filter("a < b and la <> lb").select("a", "b")
 
     few = held.groupBy("rep").agg(F.count("*").alias("r"))
+    # A pair is taken in the first bucket that both are in; a document has BANDS keys at most.
+    keys = own.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     ratio = 1 + 100 / percent
     sized = (
-        own.select("key", "rep", "label", "n").join(few, "rep", "left")
+        own.select("key", "rep", "label", "n").join(few, "rep", "left").join(keys, "rep")
         .withColumn("k", F.col("n") - F.coalesce("r", F.lit(0)))
         .withColumn("most", F.floor(F.col("k") * ratio) - F.col("n"))
         .filter("k > 0")
@@ -205,14 +207,15 @@ def _large_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     step = float(np.log(1.05))
     size_class = lambda c: F.floor(F.log(F.col(c).cast("double")) / step).cast("int")
     seeks = sized.filter("most >= k").select(
-        "key", F.col("rep").alias("a"), F.col("label").alias("la"), "k", "most",
+        "key", F.col("rep").alias("a"), F.col("label").alias("la"), "k", "most", F.col("keys").alias("ka"),
         F.explode(F.sequence(size_class("k"), size_class("most"))).alias("class"),
     )
     # What a bucket offers per size class; a class in the seeker's own component only needs no look.
-    offers = sized.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("k").alias("kb"), size_class("n").alias("class"))
+    offers = sized.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("keys").alias("kbs"), size_class("n").alias("class"))
     kinds = offers.groupBy("key", "class").agg(F.min("lb").alias("low"), F.max("lb").alias("high"), F.min("nb").alias("n0"), F.max("nb").alias("n1"))
-    seeks = split_join(seeks, kinds, ["key", "class"], "inner").filter("not (low = high and low = la) and n0 <= most and n1 >= k").select("key", "class", "a", "la", "k", "most")
-    by_size = split_join(seeks, offers, ["key", "class"], "inner").filter("la <> lb and nb between k and most and k <= kb").select(
+    seeks = split_join(seeks, kinds, ["key", "class"], "inner").filter("not (low = high and low = la) and n0 <= most and n1 >= k").select("key", "class", "a", "la", "k", "most", "ka")
+    close = "la <> lb and nb between k and most and k <= kb and key = array_intersect(ka, kbs)[0]"
+    by_size = split_join(seeks, offers, ["key", "class"], "inner").filter(close).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
     return by_token.unionByName(by_size)
