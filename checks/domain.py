@@ -91,7 +91,7 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
        CASE p_type WHEN 'PROMO' THEN 'M' WHEN 'SMALL' THEN 'M' WHEN 'LARGE' THEN 'X' ELSE 'D' END
            AS price_plan_promotion_interval,
        p_size AS price_plan_promotion_duration
-FROM {part}
+FROM {part} WHERE p_partkey % 59 <> 0
 UNION ALL SELECT '2053', 'Plan Empresa GPS', 'M', 1
 UNION ALL SELECT '2448119', 'Descuento Parametrico', 'M', 1""",
     "customer_sub_type": """
@@ -215,7 +215,7 @@ def domain_ctes(*names: str) -> str:
 
     def cte(name: str) -> str:
         columns = ", ".join(
-            f"trim({column}) AS {column}" if kind == "key" else column
+            f"trim({column}) AS {column}" if kind in ("key", "code") else column
             for column, kind in TABLES[name].items()
         )
         return f"src_{name} AS (SELECT {columns} FROM ({SOURCES[name].format(**same)}) AS s)"

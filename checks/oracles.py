@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks import snapshot_oracles
 from checks.domain import AS_OF, domain_ctes
+from checks.snapshot_oracles import label, legacy_label
 
 DAY = "DATE '1998-06-30'"
 
@@ -14,14 +15,6 @@ _FLAGS = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
   FROM lineitem"""
 
 
-def _label(param: str, cycle: str, promo: str) -> str:
-    return (
-        f"'MULTIPRODUCTO' || CASE WHEN {param} THEN '+PARAMETRIZABLE' ELSE '' END"
-        f" || CASE WHEN {cycle} THEN '+FIN DE CICLO' ELSE '' END"
-        f" || CASE WHEN {promo} THEN '+PUNTUAL' ELSE '' END"
-    )
-
-
 def _numbered(columns: str) -> str:
     return f"""SELECT l_orderkey, {columns}, row_number() OVER (
         PARTITION BY l_orderkey
@@ -184,7 +177,7 @@ priced AS (
                    THEN (charge - discount) * (100 - CAST(amount AS DOUBLE)) / 100
                  ELSE charge - discount - coalesce(CAST(amount AS DOUBLE), 0) END AS net
   FROM lines)
-SELECT *, CAST(trunc(net) AS INTEGER) AS net_int,
+SELECT *, CAST(trunc(net) AS BIGINT) AS net_int,
   charge + discount - coalesce(CAST(amount AS DOUBLE), 0) AS total,
   CASE WHEN amount IS NOT NULL THEN kind END AS shown_kind
 FROM priced""",
@@ -198,29 +191,17 @@ wide AS (SELECT o_orderkey AS l_orderkey, o_totalprice - 200000 AS base, {", ".j
   FROM orders {" ".join(
     f"LEFT JOIN n n{k} ON n{k}.l_orderkey = o_orderkey AND n{k}.slot = {k}" for k in range(1, 6))})
 SELECT *, CAST(trunc(base * {" * ".join(
-    f"((100 - coalesce(percent_{k}, 0)) / 100)" for k in range(1, 6))}) AS INTEGER) AS total
+    f"((100 - coalesce(percent_{k}, 0)) / 100)" for k in range(1, 6))}) AS BIGINT) AS total
 FROM wide""",
     "mix_label": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  {_label('has_param', 'in_cycle', 'has_promo')} AS label,
-  CASE WHEN (has_param OR NOT l_linenumber > 3) AND in_cycle AND has_promo
-         THEN 'MULTIPRODUCTO+PARAMETRIZABLE+FIN DE CICLO+PUNTUAL'
-       WHEN (has_param OR l_linenumber > 3) AND in_cycle AND NOT has_promo
-         THEN 'MULTIPRODUCTO+PARAMETRIZABLE+FIN DE CICLO'
-       WHEN (has_param OR l_linenumber > 3) AND NOT in_cycle AND has_promo
-         THEN 'MULTIPRODUCTO+PARAMETRIZABLE+PUNTUAL'
-       WHEN (has_param OR l_linenumber > 3) AND NOT in_cycle AND NOT has_promo
-         THEN 'MULTIPRODUCTO+PARAMETRIZABLE'
-       WHEN NOT has_param AND NOT l_linenumber > 3 AND in_cycle AND NOT has_promo
-         THEN 'MULTIPRODUCTO+FIN DE CICLO'
-       WHEN NOT has_param AND NOT l_linenumber > 3 AND NOT in_cycle AND has_promo
-         THEN 'MULTIPRODUCTO+PUNTUAL'
-       ELSE 'MULTIPRODUCTO' END AS legacy_label
+  {label('has_param', 'in_cycle', 'has_promo')} AS label,
+  {legacy_label('has_param', '(l_linenumber > 3)', 'in_cycle', 'has_promo')} AS legacy_label
 FROM ({_FLAGS})""",
     "usable_flag": f"""
 WITH f AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, in_cycle,
-    {_label('has_param', '(in_cycle AND l_linenumber = 1)', 'has_promo')} AS label,
+    {label('has_param', '(in_cycle AND l_linenumber = 1)', 'has_promo')} AS label,
     CASE WHEN l_linenumber = 7 THEN 0 WHEN l_linenumber < 7 THEN total END AS total,
     year(l_shipdate) + 20 AS created
   FROM ({_FLAGS}))
@@ -250,8 +231,8 @@ WITH o AS (SELECT o_orderkey, trim(CASE
     WHEN o_orderkey % 3 = 1 THEN split_part(o_orderpriority, '-', 2)
     WHEN o_custkey % 4 = 0 THEN '0' WHEN o_custkey % 4 = 1 THEN '00'
     ELSE o_custkey || '.75' END) AS raw FROM orders)
-SELECT o_orderkey, raw, CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS INTEGER) AS amount,
-  CASE WHEN raw <> '0' THEN CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS INTEGER) END AS promo,
+SELECT o_orderkey, raw, CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT) AS amount,
+  CASE WHEN raw <> '0' THEN CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT) END AS promo,
   TRY_CAST(raw AS DOUBLE) AS number,
   CASE WHEN raw NOT IN ('0', '00') THEN raw END AS unblanked
 FROM o""",
@@ -278,4 +259,11 @@ SELECT CAST(p_partkey AS VARCHAR) AS product_key, p_name AS descripcion FROM par
     "daily_snapshot": snapshot_oracles.daily_snapshot(),
     "monthly_close": snapshot_oracles.monthly_close(),
     "daily_snapshot_v2": snapshot_oracles.daily_snapshot_v2(),
+    "daily_snapshot_list": snapshot_oracles.daily_snapshot(cycle="e.product_desc IS NOT NULL"),
+    "daily_snapshot_v2_legacy": snapshot_oracles.daily_snapshot_v2(legacy=True),
+    "dated_folders": """
+SELECT o_custkey AS subscriber_key, o_orderstatus AS subscriber_status_id, chosen FROM (
+  SELECT *, month(o_orderdate) AS m, CAST('latest' AS VARCHAR) AS chosen FROM orders
+  UNION ALL SELECT *, month(o_orderdate), 'period' FROM orders)
+WHERE m = CASE chosen WHEN 'latest' THEN 12 ELSE 2 END""",
 }

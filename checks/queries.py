@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,6 +17,7 @@ import planledger
 from checks.domain import (
     AS_OF, CLOSE_TS, PERIOD, RUN_TS, VIEW_TABLES, domain_tables, read,
 )
+from planledger.config import DAILY, DAILY_V2
 from planledger.contracts import normalise_keys
 from planledger.functions import calendar, labels, pricing, text
 from planledger.operators import filters, joins, reduce
@@ -140,7 +142,7 @@ def promo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = filters.valid_at(
         read(spark, sf_dir, "orders"), None, "o_orderdate", DAY
     ).select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    lines = joins.lookup_join(
+    lines = joins.split_join(
         joins.enrich(offers, products, "l_orderkey", "inner"), values, "product_key", "inner"
     )
     return filters.promo_dates(
@@ -219,7 +221,7 @@ def charges_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = charges.charges_view(domain_tables(spark, sf_dir, *VIEW_TABLES), AS_OF)
+    view = charges.base_view(domain_tables(spark, sf_dir, *VIEW_TABLES), AS_OF)
     return filters.base_rows(view, hidden=("D", "PARA"))
 
 
@@ -292,7 +294,7 @@ def promo_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type").isin("PROMO", "LARGE"), "M").when(F.col("p_type") == "SMALL", "D")
         .otherwise("X").alias("interval"),
     )
-    return joins.lookup_join(lines, part, "p_partkey").select(
+    return joins.split_join(lines, part, "p_partkey").select(
         "l_orderkey", "l_linenumber", "p_partkey", "start",
         calendar.promo_end(F.col("start"), F.col("interval"), F.col("p_size")).alias("fin"),
     )
@@ -500,3 +502,34 @@ def monthly_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_snapshot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily-v2"])
     return _double(planledger.daily_snapshot_v2(tables, AS_OF))
+
+
+@query
+def daily_snapshot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily"])
+    cfg = replace(DAILY, cycle_source="list", strip_pipes=True)
+    report = _double(planledger.daily_snapshot(tables, AS_OF, RUN_TS, cfg))
+    # The SQL keeps the pipes, which only the names have.
+    return report.withColumn("RAZON_SOCIAL", F.regexp_replace("RAZON_SOCIAL", "  SA$", " | SA"))
+
+
+@query
+def daily_snapshot_v2_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily-v2"])
+    cfg = replace(DAILY_V2, v2_label_bug=True, v2_kind_from_cycle_list=True)
+    return _double(planledger.daily_snapshot_v2(tables, AS_OF, cfg))
+
+
+@query
+def dated_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reader that the jobs use, over a folder per month: the latest, and one by its period."""
+    root = _run_folder(spark, "dated")
+    lines = read(spark, sf_dir, "orders").select(
+        _key("o_custkey").alias("subscriber_key"), F.lit(None).cast("string").alias("financial_account_key"),
+        F.col("o_orderstatus").alias("subscriber_status_id"), F.lit("C").alias("customer_type_ind"),
+        F.lit("x").alias("product"), F.lit(2024).alias("year"), F.month("o_orderdate").alias("month"), F.lit(1).alias("day"),
+    )
+    lines.write.partitionBy("year", "month", "day").parquet(f"{root}/parc_kfactor")
+    latest = sources.read_dated(spark, root, "parc_kfactor").withColumn("chosen", F.lit("latest"))
+    february = sources.read_dated(spark, root, "parc_kfactor", "202402").withColumn("chosen", F.lit("period"))
+    return latest.union(february).select(F.col("subscriber_key").cast("long").alias("subscriber_key"), "subscriber_status_id", "chosen")

@@ -50,10 +50,7 @@ def number(text: str) -> str:
 
 
 def whole(value: str) -> str:
-    return (
-        f"CASE WHEN ({value}) IS NOT NULL THEN "
-        f"CAST(greatest(least(trunc({value}), 2147483647), -2147483648) AS INTEGER) END"
-    )
+    return f"CAST(trunc({value}) AS BIGINT)"
 
 
 def net(service: str, truncate: bool) -> str:
@@ -69,15 +66,26 @@ def net(service: str, truncate: bool) -> str:
 STACKED = whole("(arpu_datos + arpu_voz) * " + " * ".join(
     f"((100 - coalesce(v_{k}, 0)) / 100)" for k in SLOTS
 ))
-LABEL = """CASE
-  WHEN adi AND fin AND pun THEN 'MULTIPRODUCTO+PARAMETRIZABLE+FIN DE CICLO+PUNTUAL'
-  WHEN adi AND fin THEN 'MULTIPRODUCTO+PARAMETRIZABLE+FIN DE CICLO'
-  WHEN adi AND pun THEN 'MULTIPRODUCTO+PARAMETRIZABLE+PUNTUAL'
-  WHEN adi THEN 'MULTIPRODUCTO+PARAMETRIZABLE'
-  WHEN fin AND pun THEN 'MULTIPRODUCTO+FIN DE CICLO+PUNTUAL'
-  WHEN fin THEN 'MULTIPRODUCTO+FIN DE CICLO'
-  WHEN pun THEN 'MULTIPRODUCTO+PUNTUAL'
-  ELSE 'MULTIPRODUCTO' END"""
+
+
+def label(param: str, cycle: str, promo: str) -> str:
+    return (
+        f"'MULTIPRODUCTO' || CASE WHEN {param} THEN '+PARAMETRIZABLE' ELSE '' END"
+        f" || CASE WHEN {cycle} THEN '+FIN DE CICLO' ELSE '' END"
+        f" || CASE WHEN {promo} THEN '+PUNTUAL' ELSE '' END"
+    )
+
+
+def legacy_label(data: str, voice: str, cycle: str, promo: str) -> str:
+    """As above, but with cycle and promo "no voice discount" is asked for where "voice discount" is
+    meant, and neither discount with both others has no label of its own."""
+    both = f"({cycle}) AND ({promo})"
+    return (
+        f"CASE WHEN {both} AND ({data} OR NOT {voice}) THEN {label('true', 'true', 'true')}"
+        f" WHEN {both} THEN 'MULTIPRODUCTO' ELSE {label(f'({data} OR {voice})', cycle, promo)} END"
+    )
+
+
 RANK = ", ".join(
     f"{name} DESC NULLS LAST" for name in (
         "cf_datos", "cf_voz", "dsc_cf_datos", "dsc_cf_voz", number("adi_datos"), "adi_datos",
@@ -86,7 +94,10 @@ RANK = ", ".join(
 )
 
 
-def finish(wide: str, truncate: bool, cap: bool, tie: str, stamp: str, total_cf: str) -> str:
+def finish(
+    wide: str, truncate: bool, cap: bool, tie: str, stamp: str, total_cf: str,
+    labelled: str = label('adi', 'fin', 'pun'),
+) -> str:
     """Prices, label, flag, rank and the 49 report columns over a CTE named ``wide``."""
     cap_rule = "OR (total > 30000 AND year(created) >= 2020)" if cap else ""
     slots = ",\n".join(
@@ -112,7 +123,7 @@ def finish(wide: str, truncate: bool, cap: bool, tie: str, stamp: str, total_cf:
          {net('voz', truncate)} AS arpu_voz,
          adi_datos IS NOT NULL OR adi_voz IS NOT NULL AS adi, v_1 IS NOT NULL AS pun
   FROM {wide}),
-totalled AS (SELECT *, {STACKED} AS total, {LABEL} AS label FROM priced),
+totalled AS (SELECT *, {STACKED} AS total, {labelled} AS label FROM priced),
 ranked AS (
   SELECT *, CASE WHEN label LIKE '%FIN%CICLO%' OR total < 0 {cap_rule}
                    OR (NOT listed AND total = 0) THEN 'NO' ELSE 'SI' END AS usable,
@@ -163,12 +174,13 @@ def slot_joins(base: str) -> str:
     )
 
 
-def daily_snapshot() -> str:
+def daily_snapshot(cycle: str = "d_1 IS NOT NULL") -> str:
     keys = SUB_TYPES + ", '3044', '3054'"
     return f"""WITH {domain_ctes(
         'assigned_product', 'customer', 'subscribers', 'assigned_product_parameter', 'product',
         'customer_sub_type', 'assigned_billing_offer', 'product_catalog',
-        'product_billing_parameters', 'billing_detail', 'parc_kfactor', 'parc_sist', 'plan_list')},
+        'product_billing_parameters', 'billing_detail', 'parc_kfactor', 'parc_sist', 'plan_list',
+        'cycle_discounts')},
 cust AS (SELECT * FROM src_customer WHERE {CUSTOMERS.format(keys=keys)}),
 view AS (
   SELECT c.rut_id, c.customer_legal_name, c.billing_cycle_key, s.subscriber_key,
@@ -241,7 +253,7 @@ wide AS (
          coalesce(d_datos.v, 0) AS dsc_cf_datos, coalesce(d_voz.v, 0) AS dsc_cf_voz,
          a_datos.v AS adi_datos, CASE WHEN a_datos.v IS NOT NULL THEN k_datos.v END AS tipo_datos,
          a_voz.v AS adi_voz, CASE WHEN a_voz.v IS NOT NULL THEN k_voz.v END AS tipo_voz,
-         {SLOT_COLUMNS}, d_1 IS NOT NULL AS fin, base.created,
+         {SLOT_COLUMNS}, {cycle} AS fin, base.created,
          l.product_key IS NOT NULL AS listed, {kind_of('x.tipo_plan', 'base.plan_text')} AS kind
   FROM base
   {" ".join(
@@ -252,6 +264,7 @@ wide AS (
       for name in ("a_datos", "a_voz", "k_datos", "k_voz", "accounts", "billed"))}
   LEFT JOIN src_parc_sist x ON x.subcriptor = base.subscriber_key
   LEFT JOIN src_plan_list l ON l.product_key = base.plan_key
+  LEFT JOIN src_cycle_discounts e ON e.product_key = base.plan_key
 {slot_joins('base')}),
 {finish('wide', False, True,
         'plan_key DESC NULLS LAST, plan_text DESC, account DESC NULLS LAST, kind DESC',
@@ -339,7 +352,7 @@ wide AS (
         f"'{CLOSE_TS:%Y%m%d %H:%M:%S}'", 'cf_datos + cf_voz - dsc_cf_datos - dsc_cf_voz')}"""
 
 
-def daily_snapshot_v2() -> str:
+def daily_snapshot_v2(legacy: bool = False) -> str:
     numeric = f"{number('raw')} IS NOT NULL"
     slots = ",\n".join(
         f"n_{k} AS (SELECT subscriber_key, {number('raw')} AS v_{k}, provision_date AS i_{k}, "
@@ -351,6 +364,11 @@ def daily_snapshot_v2() -> str:
         f"  LEFT JOIN n_{k} ON n_{k}.subscriber_key = s.subscriber_key "
         f"LEFT JOIN w_{k} ON w_{k}.subscriber_key = s.subscriber_key" for k in SLOTS
     )
+    rule = (
+        {"labelled": legacy_label("(adi_datos IS NOT NULL)", "(adi_voz IS NOT NULL)", "fin", "pun")}
+        if legacy else {}
+    )
+    kind_text = "e.product_desc" if legacy else "p.product_desc"
     return f"""WITH {domain_ctes(
         'assigned_product', 'customer', 'subscribers', 'assigned_product_parameter', 'product',
         'customer_sub_type', 'assigned_billing_offer', 'product_billing_parameters',
@@ -403,7 +421,7 @@ wide AS (
          c_datos.v AS cf_datos, c_voz.v AS cf_voz, d_datos.v AS dsc_cf_datos, d_voz.v AS dsc_cf_voz,
          a_datos.v AS adi_datos, k_datos.v AS tipo_datos, a_voz.v AS adi_voz, k_voz.v AS tipo_voz,
          {SLOT_COLUMNS}, e.product_desc IS NOT NULL AS fin, NULL AS created,
-         l.descripcion IS NOT NULL AS listed, {kind_of('x.product', 'p.product_desc')} AS kind,
+         l.descripcion IS NOT NULL AS listed, {kind_of('x.product', kind_text)} AS kind,
          x.product AS known
   FROM (SELECT * FROM src_customer WHERE {CUSTOMERS.format(keys=SUB_TYPES)}) c
   JOIN src_customer_sub_type t ON t.customer_sub_type_key = c.customer_sub_type_key
@@ -432,4 +450,4 @@ wide AS (
 {finish('wide', True, False,
         ', '.join(f't_{k} DESC NULLS LAST' for k in SLOTS)
         + ', account DESC NULLS LAST, known DESC NULLS LAST',
-        f"DATE '{AS_OF}'", whole('cf_datos + cf_voz - dsc_cf_datos - dsc_cf_voz'))}"""
+        f"DATE '{AS_OF}'", whole('cf_datos + cf_voz - dsc_cf_datos - dsc_cf_voz'), **rule)}"""

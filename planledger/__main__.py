@@ -2,8 +2,13 @@
 
     python -m planledger daily --root R --out O [--as-of 2024-01-15] [--table db.t]
     python -m planledger daily-v2 --root R --out O
-    python -m planledger monthly 202401 --root R --out O
+    python -m planledger monthly 202401 --root R --out O [--run-ts 2024-02-03T06:00:00]
     python -m planledger ingest --url jdbc:... --offers S.OFFERS --product S.PRODUCT --out O
+        [--partition-column ID --lower 1 --upper 9000000 --partitions 64]
+
+``--table`` registers in the Hive catalog, so that the table is there after the run.
+``--run-ts`` repeats a run: it stamps the rows and, in a close, stands in for open ends.
+The bounds place the splits of the offers table; without them it is read by one task.
 """
 
 from __future__ import annotations
@@ -11,6 +16,8 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime
 
+from pyspark.sql import SparkSession
+
 from planledger.contracts import normalise
 from planledger.plans.ingest import ingest_cycle_discounts
 from planledger.plans.snapshots import daily_snapshot, daily_snapshot_v2, monthly_close
@@ -19,6 +26,13 @@ from planledger.sources.sinks import write_snapshot
 from planledger.sources.tables import JOB_TABLES, read_domain, read_jdbc
 
 
+def period(text: str) -> str:
+    """A month as ``yyyyMM``."""
+    if not (len(text) == 6 and text.isdigit() and 1 <= int(text[4:]) <= 12):
+        raise argparse.ArgumentTypeError(f"{text!r} is no month of the form yyyyMM")
+    return text
+
+
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--out", required=True, help="folder to overwrite")
@@ -27,25 +41,49 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     report = argparse.ArgumentParser(add_help=False, parents=[common])
     report.add_argument("--root", required=True, help="folder holding the source tables")
     report.add_argument("--plan-list", help="CSV file of the pay-per-use plans")
-    report.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     report.add_argument("--table", help="external table to register over the folder")
+    report.add_argument("--run-ts", type=datetime.fromisoformat, help="the run's time (default: now)")
+    daily = argparse.ArgumentParser(add_help=False, parents=[report])
+    daily.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     parser = argparse.ArgumentParser(prog="planledger")
     jobs = parser.add_subparsers(dest="job", required=True)
-    jobs.add_parser("daily", parents=[report])
-    jobs.add_parser("daily-v2", parents=[report])
-    jobs.add_parser("monthly", parents=[report]).add_argument("period", help="yyyyMM")
+    jobs.add_parser("daily", parents=[daily])
+    jobs.add_parser("daily-v2", parents=[daily])
+    jobs.add_parser("monthly", parents=[report]).add_argument("period", type=period, help="yyyyMM")
     ingest = jobs.add_parser("ingest", parents=[common])
     ingest.add_argument("--url", required=True)
     ingest.add_argument("--offers", required=True, help="table of the discount offers")
     ingest.add_argument("--product", required=True, help="product table")
     ingest.add_argument("--property", action="append", default=[], metavar="KEY=VALUE")
-    return parser.parse_args(argv)
+    ingest.add_argument("--partition-column", help="number, date or timestamp column of the offers")
+    ingest.add_argument("--lower")
+    ingest.add_argument("--upper")
+    ingest.add_argument("--partitions", type=int)
+    args = parser.parse_args(argv)
+    if args.job == "ingest":
+        given = [args.partition_column, args.lower, args.upper, args.partitions]
+        if any(x is not None for x in given) and None in given:
+            parser.error("--partition-column, --lower, --upper and --partitions go together")
+        args.bounds = tuple(given) if args.partition_column else None
+    return args
+
+
+def session_settings(args: argparse.Namespace) -> dict[str, str]:
+    """What the run needs of its session beyond the defaults."""
+    if getattr(args, "table", None):
+        return {"spark.sql.catalogImplementation": "hive"}
+    return {}
+
+
+def lasting_catalog(spark: SparkSession) -> bool:
+    """Whether tables stay registered when the session ends."""
+    return spark.conf.get("spark.sql.catalogImplementation") == "hive"
 
 
-def run(spark, args: argparse.Namespace) -> None:
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ingest":
         props = dict(item.split("=", 1) for item in args.property)
-        offers = read_jdbc(spark, args.url, args.offers, props)
+        offers = read_jdbc(spark, args.url, args.offers, props, args.bounds)
         product = read_jdbc(spark, args.url, args.product, props).selectExpr(
             "trim(cast(product_key AS string)) AS product_key", "product_desc"
         )
@@ -55,7 +93,7 @@ def run(spark, args: argparse.Namespace) -> None:
     tables = read_domain(
         spark, args.root, JOB_TABLES[args.job], getattr(args, "period", None), args.plan_list
     )
-    now = datetime.now()
+    now = args.run_ts or datetime.now()
     if args.job == "daily":
         report = daily_snapshot(tables, args.as_of, now)
     elif args.job == "monthly":
@@ -68,6 +106,10 @@ def run(spark, args: argparse.Namespace) -> None:
 if __name__ == "__main__":
     arguments = parse_args()
     session = build_session(
-        f"planledger-{arguments.job}", shuffle_partitions=arguments.shuffle_partitions
+        f"planledger-{arguments.job}",
+        shuffle_partitions=arguments.shuffle_partitions,
+        **session_settings(arguments),
     )
+    if getattr(arguments, "table", None) and not lasting_catalog(session):
+        raise SystemExit("--table needs a session with the Hive catalog; the table would vanish with this run")
     run(session, arguments)

@@ -98,8 +98,6 @@ class JobConfig:
     v2_kind_from_cycle_list: derive the product kind from the description in
         the end-of-cycle list instead of the plan's own.
     strip_pipes: remove ``|`` from the names (the sources keep them).
-    lookup_max_bytes: a product-level lookup up to this size is broadcast; a
-        larger one is joined by a shuffle. 0 always shuffles.
     """
 
     cycle_source: str = "list"
@@ -107,7 +105,6 @@ class JobConfig:
     v2_label_bug: bool = False
     v2_kind_from_cycle_list: bool = False
     strip_pipes: bool = False
-    lookup_max_bytes: int = 64 * 1024 * 1024
     sub_type_keys: tuple[str, ...] = SUB_TYPE_KEYS
 
 

@@ -2,7 +2,9 @@
 
 Keys arrive as ints or padded strings depending on the source, so every key is
 read as a trimmed string; dates are read as dates and money as decimal. All
-columns are nullable. ``KEY`` marks the columns that are trimmed.
+columns are nullable. ``KEY`` marks the columns that are joined by and therefore trimmed
+strings. ``CODE`` marks the columns that only code lists are compared with: whole numbers
+stay numbers, so that such a filter reaches the parquet reader, and texts are trimmed.
 """
 
 from __future__ import annotations
@@ -10,13 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 KEY = "key"
+CODE = "code"
 MONEY = "decimal(18,2)"
+#: The types of whole numbers, as ``DataFrame.dtypes`` names them.
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 TABLES: dict[str, dict[str, str]] = {
     "assigned_product": {
-        "product_key": KEY, "subscriber_key": KEY, "assigned_product_key": KEY,
+        "product_key": CODE, "subscriber_key": KEY, "assigned_product_key": KEY,
         "assigned_product_id": KEY, "customer_key": KEY,
-        "assigned_product_status_key": KEY, "assigned_product_state_key": KEY,
+        "assigned_product_status_key": CODE, "assigned_product_state_key": CODE,
         "start_date": "date", "end_date": "date", "dml_ind": "string",
     },
     "customer": {
@@ -25,12 +30,12 @@ TABLES: dict[str, dict[str, str]] = {
         "customer_type_ind": "string", "dml_ind": "string",
     },
     "subscribers": {
-        "subscriber_key": KEY, "customer_key": KEY, "subscriber_status_key": KEY,
-        "calculated_payment_category_ke": KEY, "primary_resource_value": "string",
+        "subscriber_key": KEY, "customer_key": KEY, "subscriber_status_key": CODE,
+        "calculated_payment_category_ke": CODE, "primary_resource_value": "string",
         "original_activation_date": "date",
     },
     "assigned_product_parameter": {
-        "assigned_product_key": KEY, "product_parameter_key": KEY,
+        "assigned_product_key": KEY, "product_parameter_key": CODE,
         "assigned_product_parameter_id": "string", "parameter_value": "string",
         "dml_ind": "string",
     },
@@ -41,8 +46,8 @@ TABLES: dict[str, dict[str, str]] = {
     "customer_sub_type": {"customer_sub_type_key": KEY, "customer_sub_type_desc": "string"},
     "assigned_billing_offer": {
         "subscriber_key": KEY, "assigned_product_id": KEY, "product_key": KEY,
-        "parent_product_key": KEY, "asgn_blng_ofr_state_key": KEY,
-        "asgn_blng_ofr_status_key": KEY, "provision_date": "date",
+        "parent_product_key": CODE, "asgn_blng_ofr_state_key": CODE,
+        "asgn_blng_ofr_status_key": CODE, "provision_date": "date",
         "start_date": "date", "end_date": "date",
     },
     "product_catalog": {"product_key": KEY, "product_valid_from_date": "date"},
@@ -79,7 +84,7 @@ TABLES: dict[str, dict[str, str]] = {
 def ddl(table: str) -> str:
     """The contract of ``table`` as a DDL string, for building typed frames."""
     return ", ".join(
-        f"{name} {'string' if kind == KEY else kind}" for name, kind in TABLES[table].items()
+        f"{name} {'string' if kind in (KEY, CODE) else kind}" for name, kind in TABLES[table].items()
     )
 
 
@@ -97,7 +102,9 @@ def normalise(df: DataFrame, table: str) -> DataFrame:
     actual = {name.lower(): kind for name, kind in df.dtypes}
 
     def column(name: str, kind: str) -> str:
-        if kind == KEY:
+        if kind == CODE and actual[name] in WHOLE:
+            return f"{name} AS {name}"
+        if kind in (KEY, CODE):
             return f"trim(cast({name} AS string)) AS {name}"
         if actual[name] == kind:
             return f"{name} AS {name}"

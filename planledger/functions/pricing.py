@@ -8,20 +8,14 @@ from pyspark.sql import Column, functions as F
 
 from planledger.functions.text import parse_amount, parse_number
 
-INT_MAX, INT_MIN = 2**31 - 1, -(2**31)
-
 
 def _or_zero(col: Column) -> Column:
     return F.coalesce(col, F.lit(0))
 
 
-def to_int(col: Column) -> Column:
-    """Truncated toward zero; beyond the int range the nearest int stands."""
-    return (
-        F.when(col >= INT_MAX, F.lit(INT_MAX))
-        .when(col <= INT_MIN, F.lit(INT_MIN))
-        .otherwise(col.try_cast("int"))
-    )
+def to_whole(col: Column) -> Column:
+    """Truncated toward zero, as bigint."""
+    return col.try_cast("bigint")
 
 
 def total_fixed(
@@ -53,7 +47,7 @@ def net_service(
         _or_zero(parse_amount(amount)) != 0, base * (F.lit(100) - value) / F.lit(100)
     ).otherwise(base)
     net = F.when(F.coalesce(kind, F.lit("Fixed")) == "Fixed", base - value).otherwise(percent)
-    return to_int(net) if truncate else net
+    return to_whole(net) if truncate else net
 
 
 def visible_type(amount: Column, kind: Column) -> Column:
@@ -64,7 +58,7 @@ def visible_type(amount: Column, kind: Column) -> Column:
 def stacked_total(base: Column, slots: list[Column]) -> Column:
     """``base`` after each percentage in turn, truncated toward zero; empty slots are 0 %."""
     kept = [(F.lit(100) - _or_zero(slot)) / F.lit(100) for slot in slots]
-    return to_int(reduce(lambda total, share: total * share, kept, base))
+    return to_whole(reduce(lambda total, share: total * share, kept, base))
 
 
 def floored(total: Column) -> Column:

@@ -23,11 +23,11 @@ def parse_number(col: Column) -> Column:
 
 
 def parse_amount(col: Column, zero_as_null: bool = False) -> Column:
-    """The number a string holds, truncated to int; null for words and overflow.
+    """The number a string holds, truncated to a whole one (bigint); null for words.
 
     ``zero_as_null`` blanks the text ``"0"``, which stands for "no promotion".
     """
-    value = parse_number(col).try_cast("int")
+    value = parse_number(col).try_cast("bigint")
     return F.when(col == "0", None).otherwise(value) if zero_as_null else value
 
 

@@ -11,10 +11,18 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from planledger import config as C
+from planledger.contracts import WHOLE, normalise_keys
 from planledger.functions.calendar import promo_end
 from planledger.functions.text import contains_in_order
 
 
+def code_in(df: DataFrame, name: str, codes: tuple) -> Column:
+    """Whether a code column holds one of ``codes``, compared in the column's own type."""
+    if dict(df.dtypes).get(name) in WHOLE:
+        codes = tuple(int(code) for code in codes)
+    return F.col(name).isin(*codes)
+
+
 def valid_at(
     df: DataFrame, start: str | None, end: str, d: date, open_end: date | None = None
 ) -> DataFrame:
@@ -62,7 +70,7 @@ def eligible_subscribers(
     phone: str = "primary_resource_value",
 ) -> DataFrame:
     """Active subscribers who pay by bill; optionally only those with a number as phone."""
-    condition = F.col(status).isin(*statuses) & F.col(category).isin(*categories)
+    condition = code_in(subs, status, statuses) & code_in(subs, category, categories)
     if numeric_phone:
         condition = condition & F.col(phone).try_cast("bigint").isNotNull()
     return subs.filter(condition)
@@ -122,15 +130,17 @@ def live_products(
     ``at_period_end`` also asks that they have started by then.
     """
     condition = (
-        F.col(product).isin(*product_keys)
-        & F.col(status).isin(*statuses)
-        & (F.col(state) == live_state)
+        code_in(ap, product, product_keys)
+        & code_in(ap, status, statuses)
+        & code_in(ap, state, (live_state,))
     )
     if need_customer:
         condition = condition & F.col(customer).isNotNull()
     if drop_deleted:
         condition = condition & (F.col(dml) != "DELETE")
-    return valid_at(ap.filter(condition), start if at_period_end else None, end, as_of)
+    live = valid_at(ap.filter(condition), start if at_period_end else None, end, as_of)
+    # From here on the product is a key to join by.
+    return normalise_keys(live, [product]) if dict(ap.dtypes)[product] in WHOLE else live
 
 
 def live_offers(
@@ -148,9 +158,9 @@ def live_offers(
 ) -> DataFrame:
     """Billing offers under ``parent_keys`` that run at ``as_of``."""
     rows = abo.filter(
-        (F.col(state) == live_state)
-        & F.col(status).isin(*statuses)
-        & F.col(parent).isin(*parent_keys)
+        code_in(abo, state, (live_state,))
+        & code_in(abo, status, statuses)
+        & code_in(abo, parent, parent_keys)
     )
     return valid_at(rows, start if at_period_end else None, end, as_of)
 
@@ -163,7 +173,7 @@ def parameters(
     dml: str = "dml_ind",
 ) -> DataFrame:
     """Parameter values of the discount parameters."""
-    rows = app.filter(F.col(key).isin(*parameter_keys))
+    rows = app.filter(code_in(app, key, parameter_keys))
     return rows.filter(F.col(dml) != "DELETE") if drop_deleted else rows
 
 
@@ -285,5 +295,5 @@ def base_rows(
     desc: str = "product_desc",
     hidden: tuple = C.HIDDEN_PLAN_WORDS,
 ) -> DataFrame:
-    """Distinct rows of the charges view whose description is not the hidden one (nor null)."""
+    """Distinct plan rows of the charges (or base) view whose description is not the hidden one (nor null)."""
     return view.filter(~contains_in_order(F.col(desc), *hidden)).select(*columns).distinct()

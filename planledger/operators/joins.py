@@ -1,11 +1,8 @@
-"""Join shapes: enrichment, role-playing dimensions, list membership, product lookups."""
+"""Join shapes: enrichment, role-playing dimensions, list membership, joins of skewed sides."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
-
-from planledger.config import JobConfig
 
 _SPLIT = "__split"
 
@@ -67,7 +64,7 @@ def split_join(
     out of a shuffle. An input aggregated on the join keys does not: Spark joins
     it where it is. The constant extra key forces one more shuffle of those
     already reduced rows, after which a hot key's rows on the left are divided
-    over many tasks.
+    over many tasks. A small right side is broadcast by Spark's own size checks.
     """
     keys = [on] if isinstance(on, str) else list(on)
     marker = F.pmod(F.xxhash64(*keys), F.lit(1))
@@ -76,32 +73,3 @@ def split_join(
         .join(right.withColumn(_SPLIT, marker), [*keys, _SPLIT], how)
         .drop(_SPLIT)
     )
-
-
-def fits(df: DataFrame, max_bytes: int) -> bool:
-    """Whether the rows of ``df`` take at most ``max_bytes``, measured by running it."""
-    if max_bytes <= 0:
-        return False
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    width = F.lit(16 * len(df.columns))
-    for name in text:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    return (df.select(width.alias("w")).agg(F.sum("w")).first()[0] or 0) <= max_bytes
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "left",
-    max_bytes: int = JobConfig.lookup_max_bytes,
-) -> DataFrame:
-    """Join a product-level lookup to subscriber-level rows.
-
-    A few plans hold most subscribers, so a shuffle on the product key is the
-    one to avoid: the lookup is measured, and broadcast if it is small. A larger
-    one is joined by a shuffle in which AQE divides the popular plans.
-    """
-    if fits(lookup, max_bytes):
-        return df.join(F.broadcast(lookup), on, how)
-    return split_join(df, lookup, on, how)

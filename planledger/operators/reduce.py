@@ -15,11 +15,6 @@ from planledger.functions.calendar import in_period
 _BEST = "__best"
 
 
-def distinct_subset(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct combinations of ``cols``."""
-    return df.select(*cols).distinct()
-
-
 def best_row(
     df: DataFrame, key: str | list[str], order: list[str], tie_break: list[str] | None = None
 ) -> DataFrame:

@@ -43,12 +43,13 @@ def plan_catalog(
 ) -> DataFrame:
     """Description, creation date, charges of four kinds and list flags per plan.
 
-    A charge kind without rows stays null. ``charges`` are the billing
+    A charge kind without rows stays null. ``known`` is set for the keys that have a
+    product row. ``charges`` are the billing
     parameters in force and ``value`` reads the amount of one of them. The
     end-of-cycle list may be missing from ``tables``.
     """
     parts = [
-        products(tables["product"], (KEY, "product_desc")),
+        products(tables["product"], (KEY, "product_desc")).withColumn("known", F.lit(True)),
         tables["product_catalog"].select(KEY, "product_valid_from_date"),
         charges.select(KEY, *[F.when(rule, value).alias(kind) for kind, rule in kind_rules.items()]),
         tables["plan_list"].select(

@@ -13,7 +13,7 @@ from planledger.operators.filters import (
     business_customers, current_billing_params, eligible_subscribers, live_offers, live_products,
     parameters, plan_dates, products, sub_types,
 )
-from planledger.operators.joins import enrich, lookup_join, role_join
+from planledger.operators.joins import enrich, role_join, split_join
 from planledger.operators.reduce import best_row
 from planledger.plans.catalog import first_of_kinds
 
@@ -22,15 +22,22 @@ PRODUCT_ID = "assigned_product_id"
 PLAN_FIELDS = ("product_key", "product_desc", "product_valid_from_date", "in_cycle", "in_ppu")
 
 
-def charges_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C.DAILY) -> DataFrame:
-    """Every combination of live product, parameter, offered plan and billing parameter.
-
-    17 columns. Its rows multiply by design; the snapshots do not go through
-    it, they aggregate each list before joining it.
-    """
-    assigned = live_products(
+def _held(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
+    return live_products(
         tables["assigned_product"], (C.PLAN_PRODUCT, C.PARAMETER_PRODUCT), as_of
     ).select("product_key", SUBSCRIBER, "assigned_product_key", PRODUCT_ID, "start_date")
+
+
+def _offered(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
+    return live_offers(tables["assigned_billing_offer"], (C.PLAN_PRODUCT,), as_of).select(
+        SUBSCRIBER, PRODUCT_ID, F.col("product_key").alias("cod_plan_amdocs")
+    )
+
+
+def _plan_view(
+    tables: dict[str, DataFrame], assigned: DataFrame, offers: DataFrame, cfg: C.JobConfig
+) -> DataFrame:
+    """Products with their subscribers, customers, offered plans and descriptions."""
     people = eligible_subscribers(tables["subscribers"]).select(
         SUBSCRIBER, "primary_resource_value", "customer_key", "original_activation_date"
     )
@@ -38,12 +45,37 @@ def charges_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C
         "customer_key", "rut_id", "customer_legal_name", "customer_sub_type_key",
         "billing_cycle_key",
     )
+    names = products(tables["product"], ("product_key", "product_desc"))
+    view = enrich(enrich(assigned, people, SUBSCRIBER, "inner"), customers, "customer_key", "inner")
+    view = role_join(view, names, "product_key", "product_key", "held_")
+    view = enrich(view, sub_types(tables["customer_sub_type"]), "customer_sub_type_key")
+    view = enrich(view, offers, [SUBSCRIBER, PRODUCT_ID])
+    view = role_join(view, names, "cod_plan_amdocs", "product_key", "offered_")
+    view = role_join(
+        view, plan_dates(tables["product_catalog"]), "offered_product_key", "product_key", "dated_"
+    )
+    return view.withColumns({
+        "msisdn": F.col("primary_resource_value"),
+        "sub_type": F.col("customer_sub_type_desc"),
+        "product_desc": plan_desc(
+            F.col("offered_product_key"), F.col("offered_product_desc"), F.col("held_product_desc"),
+            C.PLAN_PRODUCT,
+        ),
+        "product_valid_from_date": F.col("dated_product_valid_from_date"),
+    })
+
+
+def charges_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C.DAILY) -> DataFrame:
+    """Every combination of live product, parameter, offered plan and billing parameter.
+
+    17 columns. Its rows multiply by design: n products and m offers of one
+    (subscriber, product id) give n * m rows, times their parameters and charges.
+    The snapshots do not go through it, they aggregate each list before joining it;
+    ``base_view`` has its distinct plan columns.
+    """
     values = parameters(tables["assigned_product_parameter"]).select(
         "assigned_product_key", "assigned_product_parameter_id", "parameter_value"
     )
-    offers = live_offers(tables["assigned_billing_offer"], (C.PLAN_PRODUCT,), as_of).select(
-        SUBSCRIBER, PRODUCT_ID, F.col("product_key").alias("cod_plan_amdocs")
-    )
     charges = current_billing_params(
         tables["product_billing_parameters"], C.CHARGE_ATTRIBUTES
     ).select(
@@ -51,32 +83,24 @@ def charges_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C
         F.col("item_name").alias("prit"),
         F.col("billing_attribute_default_val").alias("charge_val"),
     )
-    names = products(tables["product"], ("product_key", "product_desc"))
-    view = enrich(enrich(assigned, people, SUBSCRIBER, "inner"), customers, "customer_key", "inner")
-    view = enrich(view, values, "assigned_product_key")
-    view = role_join(view, names, "product_key", "product_key", "held_")
-    view = enrich(view, sub_types(tables["customer_sub_type"]), "customer_sub_type_key")
-    view = enrich(view, offers, [SUBSCRIBER, PRODUCT_ID])
-    view = role_join(view, names, "cod_plan_amdocs", "product_key", "offered_")
-    view = role_join(
-        view, plan_dates(tables["product_catalog"]), "offered_product_key", "product_key", "dated_"
-    )
-    view = enrich(view, charges, "cod_plan_amdocs")
+    view = _plan_view(tables, _held(tables, as_of), _offered(tables, as_of), cfg)
+    view = enrich(enrich(view, values, "assigned_product_key"), charges, "cod_plan_amdocs")
     return view.select(
-        "rut_id", "customer_legal_name", "billing_cycle_key", SUBSCRIBER,
-        F.col("primary_resource_value").alias("msisdn"), "customer_key",
-        F.col("customer_sub_type_desc").alias("sub_type"), "cod_plan_amdocs",
+        "rut_id", "customer_legal_name", "billing_cycle_key", SUBSCRIBER, "msisdn", "customer_key",
+        "sub_type", "cod_plan_amdocs",
         F.when(F.col("product_key") != C.PLAN_PRODUCT, F.col("product_key")).alias("cod_dto_tipo"),
-        plan_desc(
-            F.col("offered_product_key"), F.col("offered_product_desc"), F.col("held_product_desc"),
-            C.PLAN_PRODUCT,
-        ).alias("product_desc"),
-        "prit", "charge_val", "assigned_product_parameter_id", "parameter_value", "start_date",
-        "original_activation_date",
-        F.col("dated_product_valid_from_date").alias("product_valid_from_date"),
+        "product_desc", "prit", "charge_val", "assigned_product_parameter_id", "parameter_value",
+        "start_date", "original_activation_date", "product_valid_from_date",
     )
 
 
+def base_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C.DAILY) -> DataFrame:
+    """What ``base_rows`` needs of the charges view, without its repetitions: products and
+    offers are made distinct per (subscriber, product id) before they meet."""
+    assigned = _held(tables, as_of).drop("assigned_product_key").distinct()
+    return _plan_view(tables, assigned, _offered(tables, as_of).distinct(), cfg)
+
+
 def people(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) -> DataFrame:
     """One row per reportable subscriber with the customer it belongs to."""
     subs = eligible_subscribers(tables["subscribers"], numeric_phone=v2).select(
@@ -110,7 +134,7 @@ def people(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) ->
 
 
 def best_plans(
-    assigned: DataFrame, offers: DataFrame, catalog: DataFrame, cfg: C.JobConfig
+    assigned: DataFrame, offers: DataFrame, catalog: DataFrame, product: DataFrame
 ) -> DataFrame:
     """Per subscriber the live plan with the largest charges (data, voice, then discounts).
 
@@ -118,14 +142,19 @@ def best_plans(
     the live plan offers. Offers meet products by (subscriber, assigned product
     id); both sides are reduced to one row per pair first. An offered product
     that is the plan product itself brings its own description and may be hidden
-    on its own, so the best such offer is kept beside the best other one.
+    on its own, so the best such offer is kept beside the best other one. The
+    creation date and the own description belong to the product row: an offered
+    key without one has no date, and the assigned product's description.
     """
     pair = [SUBSCRIBER, PRODUCT_ID]
-    fields = F.struct(*first_of_kinds(), *PLAN_FIELDS)
+    fields = F.struct(*first_of_kinds(), *PLAN_FIELDS, "offered_key")
     own = F.col("product_key").eqNullSafe(C.PLAN_PRODUCT)
-    valued = lookup_join(
-        offers.select(*pair, "product_key"), catalog, "product_key", "left", cfg.lookup_max_bytes
-    )
+    valued = split_join(
+        offers.select(*pair, "product_key"), catalog, "product_key", "left"
+    ).withColumns({
+        "product_valid_from_date": F.when(F.col("known"), F.col("product_valid_from_date")),
+        "offered_key": F.when(F.col("known"), F.col("product_key")),
+    })
     offered = valued.groupBy(*pair).agg(
         F.max(F.when(own, fields)).alias("own"), F.max(F.when(~own, fields)).alias("other")
     )
@@ -137,13 +166,15 @@ def best_plans(
         .select(SUBSCRIBER, "plan.*", F.explode("assigned_keys").alias("assigned_key"))
     )
     # One row per key of a fixed two-element list, hence safe to broadcast.
-    names = catalog.filter(
-        F.col("product_key").isin(C.PLAN_PRODUCT, C.PARAMETER_PRODUCT)
-    ).select(F.col("product_key").alias("assigned_key"), F.col("product_desc").alias("assigned_desc"))
+    names = (
+        product.filter(F.col("product_key").isin(C.PLAN_PRODUCT, C.PARAMETER_PRODUCT))
+        .groupBy(F.col("product_key").alias("assigned_key"))
+        .agg(F.max("product_desc").alias("assigned_desc"))
+    )
     described = candidates.join(F.broadcast(names), "assigned_key", "left").select(
         SUBSCRIBER, *first_of_kinds(), "product_key",
         plan_desc(
-            F.col("product_key"), F.col("product_desc"), F.col("assigned_desc"), C.PLAN_PRODUCT
+            F.col("offered_key"), F.col("product_desc"), F.col("assigned_desc"), C.PLAN_PRODUCT
         ).alias("plan"),
         "product_valid_from_date", "in_cycle", "in_ppu",
     )

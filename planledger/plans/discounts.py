@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from planledger import config as C
 from planledger.functions.text import blank_zeros, parse_amount, parse_number
 from planledger.operators.filters import promo_dates
-from planledger.operators.joins import lookup_join, split_join
+from planledger.operators.joins import split_join
 from planledger.operators.reduce import (
     number_slots, spread_by_kind, spread_by_slot, top_pair,
 )
@@ -86,11 +86,7 @@ def discounts_of_latest(
 
 
 def promo_lines(
-    products: DataFrame,
-    offers: DataFrame,
-    values: DataFrame,
-    unique: bool,
-    max_bytes: int = C.JobConfig.lookup_max_bytes,
+    products: DataFrame, offers: DataFrame, values: DataFrame, unique: bool
 ) -> DataFrame:
     """The first promo lines of each subscriber, numbered by product key.
 
@@ -102,9 +98,8 @@ def promo_lines(
     """
     order = ["product_key", PROMO_RAW, "inicio", "fin"]
     lines = promo_dates(
-        lookup_join(
-            offers.select(*_PAIR, "product_key", "provision_date"), values, "product_key",
-            "inner", max_bytes,
+        split_join(
+            offers.select(*_PAIR, "product_key", "provision_date"), values, "product_key", "inner"
         )
     ).select(*_PAIR, *order)
     if unique:
@@ -126,9 +121,7 @@ def promo_slots(lines: DataFrame) -> DataFrame:
     return spread.withColumn("has_slot", F.lit(True))
 
 
-def promo_slots_v2(
-    offers: DataFrame, values: DataFrame, max_bytes: int = C.JobConfig.lookup_max_bytes
-) -> DataFrame:
+def promo_slots_v2(offers: DataFrame, values: DataFrame) -> DataFrame:
     """Daily v2: the first five offers by provision date, valued afterwards.
 
     An offer without a promo value still takes its slot. The dates are shown
@@ -138,7 +131,7 @@ def promo_slots_v2(
     numbered = number_slots(
         offers.select(*columns), SUBSCRIBER, ["provision_date"], ["product_key", PRODUCT_ID]
     )
-    lines = promo_dates(lookup_join(numbered, values, "product_key", "left", max_bytes))
+    lines = promo_dates(split_join(numbered, values, "product_key", "left"))
     known = F.col("value").isNotNull()
     dated = lines.withColumns({name: F.when(known, F.col(name)) for name in ("inicio", "fin")})
     return spread_by_slot(dated, SUBSCRIBER, "slot", ["value", "kind", "inicio", "fin"])

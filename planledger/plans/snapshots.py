@@ -20,14 +20,14 @@ from planledger.functions.labels import (
     mix_label, mix_label_v2_legacy, product_kind, usable_flag,
 )
 from planledger.functions.pricing import (
-    floored, net_service, stacked_total, to_int, total_fixed, visible_type,
+    floored, net_service, stacked_total, to_whole, total_fixed, visible_type,
 )
 from planledger.functions.text import clean_name, parse_amount, parse_number
 from planledger.operators.filters import (
     current_billing_params, dated_billing_params, eligible_accounts, live_offers, live_products,
     parameters, parc_base, products, promo_values,
 )
-from planledger.operators.joins import enrich, lookup_join
+from planledger.operators.joins import enrich, split_join
 from planledger.operators.reduce import best_row, billed_month, latest_per
 from planledger.plans.catalog import name_rules, plan_catalog, promo_catalog_v2, word_rules
 from planledger.plans.charges import SUBSCRIBER, best_plans, people
@@ -72,7 +72,7 @@ def _report(
     """
     total_cf = total_fixed(*[F.col(kind) for kind in C.CHARGE_KINDS], null_as_zero=null_as_zero)
     priced = wide.withColumns({
-        "total_cf": total_cf if null_as_zero else to_int(total_cf),
+        "total_cf": total_cf if null_as_zero else to_whole(total_cf),
         "arpu_datos": net_service(
             F.col("cf_datos"), F.col("dsc_cf_datos"), F.col("amount_data"), F.col("type_data"),
             truncate,
@@ -130,7 +130,7 @@ def daily_snapshot(
         tables["assigned_product"], (C.PLAN_PRODUCT, C.PARAMETER_PRODUCT), as_of
     )
     abo = tables["assigned_billing_offer"]
-    plans = best_plans(assigned, live_offers(abo, (C.PLAN_PRODUCT,), as_of), catalog, cfg)
+    plans = best_plans(assigned, live_offers(abo, (C.PLAN_PRODUCT,), as_of), catalog, tables["product"])
     discounts = discounts_by_kind(
         assigned,
         parameters(tables["assigned_product_parameter"]),
@@ -141,7 +141,6 @@ def daily_snapshot(
         live_offers(abo, C.PROMO_PRODUCTS, as_of),
         promo_values(products(tables["product"]), current_billing_params(pbp, C.PROMO_ATTRIBUTES)),
         unique=False,
-        max_bytes=cfg.lookup_max_bytes,
     ))
     accounts = eligible_accounts(tables["parc_kfactor"]).groupBy(SUBSCRIBER).agg(
         F.max("financial_account_key").alias("financial_account_key")
@@ -195,7 +194,7 @@ def monthly_close(
     # Lines without a subscriber form one row that no list matches.
     known = F.col(SUBSCRIBER).isNotNull()
     base = (
-        lookup_join(lines, catalog, "product_key", "left", cfg.lookup_max_bytes)
+        split_join(lines, catalog, "product_key", "left")
         .groupBy(SUBSCRIBER)
         .agg(
             F.max(F.struct(*shown)).alias("line"),
@@ -221,12 +220,11 @@ def monthly_close(
         ),
         promo_values(products(tables["product"]), current_billing_params(pbp, C.PROMO_ATTRIBUTES)),
         unique=True,
-        max_bytes=cfg.lookup_max_bytes,
     ))
     wide = base
     for part in (discounts, promos, billed_month(tables["billing_detail"], period)):
         wide = enrich(wide, part, SUBSCRIBER)
-    wide = wide.withColumn("arpu", to_int(F.coalesce("arpu", F.lit(0))))
+    wide = wide.withColumn("arpu", to_whole(F.coalesce("arpu", F.lit(0))))
     in_cycle = _flag("has_slot" if cfg.cycle_source == "slot1" else "in_cycle")
     return _report(stamps(wide, last, run_ts, period), cfg, in_cycle)
 
@@ -249,9 +247,8 @@ def daily_snapshot_v2(
         ),
         SUBSCRIBER, "start_date", ["product_key", "assigned_product_id"],
     )
-    plans = lookup_join(
-        latest_offer.select(SUBSCRIBER, "product_key"), catalog, "product_key", "left",
-        cfg.lookup_max_bytes,
+    plans = split_join(
+        latest_offer.select(SUBSCRIBER, "product_key"), catalog, "product_key", "left"
     ).withColumnRenamed("product_desc", "plan")
     latest_product = latest_per(
         live_products(tables["assigned_product"], (C.PARAMETER_PRODUCT,), as_of).select(
@@ -269,7 +266,6 @@ def daily_snapshot_v2(
         promo_catalog_v2(
             tables, current_billing_params(pbp, C.PROMO_ATTRIBUTES, C.PROMO_ITEMS_V2)
         ),
-        cfg.lookup_max_bytes,
     )
     parc = best_row(
         tables["parc_kfactor"].select(
@@ -284,7 +280,7 @@ def daily_snapshot_v2(
         wide = enrich(wide, part, SUBSCRIBER)
     kind_text = "cycle_desc" if cfg.v2_kind_from_cycle_list else "plan"
     wide = wide.withColumns({
-        "arpu": to_int(F.col("arpu")),
+        "arpu": to_whole(F.col("arpu")),
         "tipo_producto": product_kind(F.col("known_kind"), F.col(kind_text)),
     })
     in_cycle = _flag("in_cycle")

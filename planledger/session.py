@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Used where neither the cluster nor the caller has set them.
@@ -12,6 +10,8 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Product-level lookups of this size may be broadcast; Spark measures them at run time.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
 
@@ -45,14 +45,7 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a driver-local folder would be invisible to the executors.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="planledger-")
+    """The folder that every executor can reach: the one named by ``spark.checkpoint.dir``,
+    else the session's warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")

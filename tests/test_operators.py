@@ -164,14 +164,39 @@ def test_join_shapes(spark):
     assert "two_t" in roles.columns and roles.count() == 4
 
 
-def test_lookup_join_is_the_same_either_way(spark):
+def test_small_lookups_are_broadcast_by_size(spark, conf):
     df = spark.createDataFrame([("1", 1), ("2", 2), (None, 3)], "k string, v int")
     dim = spark.createDataFrame([("1", "x")], "k string, d string")
-    small = joins.lookup_join(df, dim, "k")
-    large = joins.lookup_join(df, dim, "k", max_bytes=0)
-    assert "BroadcastHashJoin" in physical_plan(small)
-    assert values(small) == values(large)
-    assert joins.fits(dim, 64) and not joins.fits(dim, 10)
+    small = joins.split_join(df, dim, "k")
+    assert "BroadcastHashJoin" in final_plan(small)
+    rows = values(small)
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    large = joins.split_join(df, dim, "k")
+    assert "BroadcastHashJoin" not in final_plan(large)
+    assert values(large) == rows
+
+
+def test_code_filters_reach_the_parquet_reader(spark, conf, tmp_path):
+    """Codes that are numbers in the file are compared as numbers; padded texts still match."""
+    rest = [
+        "id AS subscriber_key", "id AS assigned_product_key", "'A' AS assigned_product_id", "id AS customer_key",
+        "date'2020-01-01' AS start_date", "date'2030-01-01' AS end_date", "'I' AS dml_ind",
+    ]
+    names = ("product_key", "assigned_product_status_key", "assigned_product_state_key")
+    codes = [f"{value} AS {name}" for value, name in zip((2053, 1351, 1331), names)]
+    path = str(tmp_path / "numbers")
+    spark.range(3).selectExpr(*codes, *rest).write.parquet(path)
+    rows = normalise(spark.read.parquet(path), "assigned_product")
+    live = filters.live_products(rows, ("2053", "2448119"), date(2024, 1, 1))
+    conf(maxMetadataStringLength="2000")
+    pushed = physical_plan(live).split("PushedFilters: [")[1].split("ReadSchema")[0]
+    for name in names:
+        assert f"In({name}," in pushed or f"EqualTo({name}," in pushed, pushed
+    assert {row.product_key for row in live.collect()} == {"2053"} and live.count() == 3
+    texts = [f"'{value}' AS {name}" for value, name in zip((" 2053 ", "1351 ", " 1331"), names)]
+    text = spark.range(1).selectExpr(*texts, *rest)
+    padded = filters.live_products(normalise(text, "assigned_product"), ("2053",), date(2024, 1, 1))
+    assert [row.product_key for row in padded.collect()] == ["2053"]
 
 
 def test_gather_keeps_keys_known_to_some(spark):

@@ -12,9 +12,10 @@ from conftest import SF, physical_plan, values
 from checks.domain import CLOSE_TS, PERIOD, RUN_TS, domain_tables
 from checks.domain import AS_OF as DRIVER_DAY
 from fixture_domain import AS_OF, product, offer, frame, tables
-from planledger.__main__ import parse_args, run
+from planledger.__main__ import lasting_catalog, parse_args, run, session_settings
 from planledger.contracts import normalise
-from planledger.plans.charges import charges_view
+from planledger.operators.filters import base_rows
+from planledger.plans.charges import base_view, charges_view
 from planledger.plans.snapshots import REPORT_COLUMNS
 from planledger.sources.tables import JOB_TABLES
 
@@ -198,7 +199,7 @@ def driver_domain(spark):
 
 
 @pytest.mark.parametrize("job", REPORTS)
-def test_report_properties(spark, driver_domain, job):
+def test_report_properties(spark, driver_domain, conf, job):
     """One row per subscriber; same rows whatever the input order, partitioning or join strategy."""
     report, args, cfg = REPORTS[job]
     df = report(driver_domain, *args)
@@ -215,8 +216,69 @@ def test_report_properties(spark, driver_domain, job):
         for name, table in driver_domain.items()
     }
     assert values(report(mixed, *args), "SUBSCRIBER_KEY") == rows
-    shuffled = report(driver_domain, *args, replace(cfg, lookup_max_bytes=0))
-    assert values(shuffled, "SUBSCRIBER_KEY") == rows
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    assert values(report(driver_domain, *args), "SUBSCRIBER_KEY") == rows
+
+
+@pytest.mark.parametrize("job", REPORTS)
+def test_building_a_report_runs_no_job(spark, driver_domain, job):
+    report, args, _ = REPORTS[job]
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{job}", "building")
+    report(driver_domain, *args)
+    started = sc.statusTracker().getJobIdsForGroup(f"build-{job}")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
+
+
+def without(domain, *keys):
+    return domain | {"product": domain["product"].filter(~F.col("product_key").isin(*keys))}
+
+
+def test_daily_offer_without_product_row(spark, domain):
+    """The creation date belongs to the product row, and so does the plan product's own text."""
+    rows = by_subscriber(P.daily_snapshot(without(domain, "P2"), AS_OF, RUN))
+    for key in ("4", "8"):
+        assert (rows[key]["CODIGO_PLAN"], rows[key]["MARCA_USABLE"], rows[key]["ARPU_T"]) == ("P2", "SI", 40000)
+    assert values(charges_view(without(domain, "P2"), AS_OF).filter("cod_plan_amdocs = 'P2'").select(
+        "product_valid_from_date").distinct()) == [(None,)]
+    offers = [offer("B2", "2", "2053", "2053")]
+    renamed = domain["product"].withColumn("product_desc", F.when(
+        F.col("product_key") == "2448119", "Texto llano").otherwise(F.col("product_desc")))
+    changed = domain | {
+        "product": renamed.filter("product_key <> '2053'"),
+        "assigned_billing_offer": normalise(frame(spark, "assigned_billing_offer", offers), "assigned_billing_offer"),
+    }
+    assert by_subscriber(P.daily_snapshot(changed, AS_OF, RUN))["2"]["PLAN"] == "Texto llano"
+
+
+def test_amounts_beyond_int(spark, domain):
+    """Neither billed sums nor amounts in texts are cut at the int range."""
+    bill = domain["billing_detail"].limit(1).withColumns({
+        "subscriber_key": F.lit("4"), "charge_amount": F.lit(Decimal("3000000000.00")),
+        "bill_date": F.lit(date(2024, 1, 2)), "close_date": F.lit(date(2024, 1, 2)),
+    })
+    charges = domain["product_billing_parameters"].withColumn(
+        "billing_attribute_default_val",
+        F.when((F.col("product_key") == "P2") & (F.col("item_name") == "Cargo Fijo Datos"), "3000000000")
+        .otherwise(F.col("billing_attribute_default_val")))
+    large = domain | {
+        "billing_detail": domain["billing_detail"].union(bill.select(domain["billing_detail"].columns)),
+        "product_billing_parameters": charges,
+    }
+    for job, args in (("daily", (AS_OF, RUN)), ("monthly", ("202401", CLOSE)), ("daily-v2", (AS_OF,))):
+        row = by_subscriber(REPORTS[job][0](large, *args))["4"]
+        assert (int(row["ARPU"]), int(row["CF_DATOS"]), int(row["TOTAL_CF"]), int(row["ARPU_T"])) == (3 * 10**9,) * 4, job
+
+
+def test_base_rows_do_not_multiply(spark, domain):
+    """300 equal products meet 300 equal offers on one key as one row each."""
+    many = domain | {
+        "assigned_product": domain["assigned_product"].crossJoin(spark.range(300)).drop("id"),
+        "assigned_billing_offer": domain["assigned_billing_offer"].crossJoin(spark.range(300)).drop("id"),
+    }
+    assert base_view(many, AS_OF).count() == base_view(domain, AS_OF).count() < 50
+    assert values(base_rows(base_view(many, AS_OF))) == values(base_rows(charges_view(domain, AS_OF)))
 
 
 @pytest.mark.parametrize("job", REPORTS)
@@ -226,7 +288,7 @@ def test_report_plans(spark, domain, conf, job):
     report, args, _ = REPORTS[job]
     plan = physical_plan(report(domain, *args))
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
-    limit = {"daily": 22, "monthly": 13, "daily-v2": 15}[job]
+    limit = {"daily": 26, "monthly": 17, "daily-v2": 21}[job]
     assert plan.count("Exchange hashpartitioning") <= limit
 
 
@@ -249,10 +311,32 @@ def test_reports_by_command_line(spark, domain, tmp_path, job):
     report, _, _ = REPORTS[job]
     args = {"daily": (AS_OF, RUN), "monthly": ("202401", CLOSE), "daily-v2": (AS_OF,)}[job]
     command = [job] + (["202401"] if job == "monthly" else ["--as-of", str(AS_OF)])
+    command += ["--run-ts", (CLOSE if job == "monthly" else RUN).isoformat()]
     out = f"{root}/report"
     run(spark, parse_args([*command, "--root", root, "--out", out, "--table", "report_table"]))
     written = spark.table("report_table")
     assert tuple(written.columns) == REPORT_COLUMNS
-    assert values(written.drop("FECHA_PROC"), "SUBSCRIBER_KEY") == values(
-        report(domain, *args).drop("FECHA_PROC"), "SUBSCRIBER_KEY")
+    assert values(written, "SUBSCRIBER_KEY") == values(report(domain, *args), "SUBSCRIBER_KEY")
     spark.sql("DROP TABLE report_table")
+
+
+def test_command_line_arguments():
+    report = ["--root", "R", "--out", "O"]
+    ingest = ["ingest", "--url", "u", "--offers", "a", "--product", "b", "--out", "O"]
+    for wrong in (
+        ["monthly", "20240115", *report], ["monthly", "202413", *report],
+        ["monthly", "202401", *report, "--as-of", "2024-01-15"],
+        [*ingest, "--partition-column", "id"],
+    ):
+        with pytest.raises(SystemExit):
+            parse_args(wrong)
+    bounds = ["--partition-column", "id", "--lower", "1", "--upper", "9", "--partitions", "4"]
+    assert parse_args([*ingest, *bounds]).bounds == ("id", "1", "9", 4)
+    assert parse_args(ingest).bounds is None
+    assert session_settings(parse_args(["daily", *report, "--table", "d.t"])) == {
+        "spark.sql.catalogImplementation": "hive"}
+    assert session_settings(parse_args(["daily", *report])) == {}
+
+
+def test_a_table_of_this_session_does_not_last(spark):
+    assert not lasting_catalog(spark)
