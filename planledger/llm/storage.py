@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/planledger/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` as a URI, with the file system that Spark takes for it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    return re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "file:///", uri))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: later steps do not compute it again,
     and no lost executor takes it along."""

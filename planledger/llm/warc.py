@@ -30,7 +30,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from planledger.llm.storage import new_folder, saved
+from planledger.llm.storage import new_folder, qualified, saved
 from planledger.operators.joins import split_join
 
 ARCHIVE_BYTES = 256 << 20
@@ -260,7 +260,6 @@ def read_archives(manifest: DataFrame, keep_payload: bool = True) -> DataFrame:
 
 def archive_pages(pages: DataFrame, min_bytes: int = 0, keep_payload: bool = True) -> DataFrame:
     """Write ``pages`` (page_id, url, html), normalise the archives, and read them back."""
-    folder = new_folder(pages.sparkSession, "warc")
-    folder = folder if ":" in folder else f"file://{folder}"
+    folder = qualified(pages.sparkSession, new_folder(pages.sparkSession, "warc"))
     whole = write_archives(with_revisits(pages.select("page_id", "url", "html"), "page_id", "html", min_bytes), folder)
     return read_archives(normalise_archives(whole, folder), keep_payload)

@@ -168,8 +168,7 @@ def test_warc_round_trip(spark):
 
 def test_normalised_archives_have_one_member_per_record(spark):
     pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string")
-    folder = storage.new_folder(spark, "warc-test")
-    folder = folder if ":" in folder else f"file://{folder}"
+    folder = storage.qualified(spark, storage.new_folder(spark, "warc-test"))
     whole = warc.write_archives(warc.with_revisits(pages, "page_id", "html"), folder, size=20_000)
     parts = warc.normalise_archives(whole, folder)
     assert whole.agg(F.sum("records")).first()[0] == parts.agg(F.sum("records")).first()[0] == len(page_rows())
@@ -185,6 +184,11 @@ def test_normalised_archives_have_one_member_per_record(spark):
             assert record.startswith(b"WARC/1.1\r\n") and f"WARC-Type: {kind}\r\nWARC-Record-ID: {name}".encode() in record
 
 
+def test_folders_are_qualified(spark):
+    for given in ("/tmp/x", "file:/tmp/x", "file:///tmp/x"):
+        assert storage.qualified(spark, given) == "file:///tmp/x"
+
+
 def test_broken_archives_are_noticed():
     good = warc.record(1, "u", b"abc", None)
     assert [warc.parse(r)["payload"] for r in warc.split_records(iter([good[:10], good[10:] + good]))] == [b"abc", b"abc"]
