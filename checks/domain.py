@@ -91,7 +91,7 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
        CASE p_type WHEN 'PROMO' THEN 'M' WHEN 'SMALL' THEN 'M' WHEN 'LARGE' THEN 'X' ELSE 'D' END
            AS price_plan_promotion_interval,
        p_size AS price_plan_promotion_duration
-FROM {part} WHERE p_partkey % 59 <> 0
+FROM {part} WHERE p_partkey % 23 <> 0
 UNION ALL SELECT '2053', 'Plan Empresa GPS', 'M', 1
 UNION ALL SELECT '2448119', 'Descuento Parametrico', 'M', 1""",
     "customer_sub_type": """
