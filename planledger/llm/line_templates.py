@@ -37,19 +37,29 @@ def _masked(line: Column) -> Column:
 
 def masked_lines(docs: DataFrame, key: str, text: str, min_tokens: int, depth: int) -> DataFrame:
     """(doc, text_hash, pos, masked, n, leaf, line) of every line long enough."""
-    rows = docs.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("pos", "raw")
+    # Below the generator, or the whole text would be hashed again for each of its lines.
+    whole = docs.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.split(text, "\n").alias("raws")
     )
+    rows = whole.select("doc", "text_hash", F.posexplode("raws").alias("pos", "raw"))
+    # Masking keeps the number of tokens, so short lines go before it.
+    blanks = F.octet_length("raw") - F.octet_length(F.replace(F.col("raw"), F.lit(" "), F.lit("")))
     return (
-        rows.withColumn("masked", _masked(F.col("raw")))
-        .withColumn("n", F.length("masked") - F.length(F.translate("masked", " ", "")) + 1)
-        .filter((F.col("n") >= min_tokens) & (F.trim("masked") != ""))
+        rows.withColumn("n", blanks + 1)
+        .filter((F.col("n") >= min_tokens) & (F.trim("raw") != ""))
+        .withColumn("masked", _masked(F.col("raw")))
         .withColumn("leaf", F.xxhash64("n", F.substring_index("masked", " ", depth)))
         .withColumn("line", F.xxhash64("masked"))
         .drop("raw")
     )
 
 
+def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """By sort-merge at any size: the right side grows with the corpus, and hot keys of the
+    left side can then be split."""
+    return split_join(left, right.hint("merge"), on, how)
+
+
 def template_lines(
     docs: DataFrame, key: str, text: str, min_docs: int, min_tokens: int, depth: int, similarity: float
 ) -> DataFrame:
@@ -63,7 +73,7 @@ def template_lines(
     # Leaves that hold one line have nothing to generalise.
     wide = leaves.filter("lines > 1").select("leaf")
     whole = masked_lines(docs, key, text, min_tokens, depth).select("leaf", "line", "n", "masked")
-    texts = split_join(whole, wide, "leaf", "inner").groupBy("leaf", "line").agg(F.max("n").alias("n"), F.max("masked").alias("masked"))
+    texts = _joined(whole, wide, "leaf").groupBy("leaf", "line").agg(F.max("n").alias("n"), F.max("masked").alias("masked"))
     tokens = (
         texts.join(counts, ["leaf", "line"])
         .select("leaf", "line", "n", "w", F.posexplode(F.split("masked", " ")).alias("place", "token"))
@@ -72,15 +82,15 @@ def template_lines(
     )
     tokens = saved(tokens, "tokens")
     fixed = tokens.groupBy("leaf", "token").agg(F.sum("w").alias("docs")).filter(F.col("docs") >= min_docs).select("leaf", "token")
-    constant = split_join(tokens, fixed, ["leaf", "token"], "inner")
+    constant = _joined(tokens, fixed, ["leaf", "token"])
     general = (
         constant.groupBy("leaf", "line")
         .agg(F.bit_xor("token").alias("x"), F.count("*").alias("kept"), F.max("n").alias("n"))
         .filter(F.col("kept") >= similarity * F.col("n"))
         .select("leaf", "line", F.xxhash64("leaf", "x", "kept").alias("template"))
     )
-    found = split_join(index, leaves.select("leaf"), "leaf", "inner")
-    return split_join(found, general, ["leaf", "line"], "left").select(
+    found = _joined(index, leaves.select("leaf"), "leaf")
+    return _joined(found, general, ["leaf", "line"], "left").select(
         "doc", "text_hash", "pos", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")
     )
 
@@ -102,10 +112,10 @@ def dedup_lines(
         holders.groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
         .filter(F.col("docs") >= min_docs).select("template", "first")
     )
-    dropped = split_join(lines, recurring, "template", "inner").filter("doc <> first")
+    dropped = _joined(lines, recurring, "template").filter("doc <> first")
     gone = dropped.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
     gone = gone.select(F.col("doc").alias(key), F.col("text_hash").alias("__hash"), "__gone")
-    joined = own.withColumn("__hash", F.xxhash64(text)).join(gone, [key, "__hash"], "left")
+    joined = own.withColumn("__hash", F.xxhash64(text)).join(gone.hint("merge"), [key, "__hash"], "left")
     # The generator keeps the optimizer from splitting the text again for every part.
     cut = joined.withColumn("__lines", F.explode(F.array(F.split(text, "\n"))))
     kept = F.expr("""array_join(flatten(transform(sequence(0, size(__gone)), k -> slice(
