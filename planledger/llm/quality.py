@@ -32,6 +32,8 @@ WIDTH = 32
 #: Nonzero entries of a random vector.
 NONZERO = 4
 HIDDEN = 32
+#: Units whose vectors are gathered together.
+UNITS = 1 << 16
 
 _rng = np.random.Generator(np.random.PCG64(90210))
 _SPOTS = np.argsort(_rng.random((BUCKETS, WIDTH)), axis=1)[:, :NONZERO]
@@ -104,9 +106,15 @@ def features(texts: pa.Array, table: np.ndarray) -> np.ndarray:
         if not len(some):
             continue
         at, n = upto[some], np.diff(upto)[some].astype(np.float32)[:, None]
-        own = table[bucket]
-        mean = np.add.reduceat(own, at) / n
-        spread = np.sqrt(np.maximum(np.add.reduceat(own * own, at) / n - mean * mean, 0))
+        sums = np.zeros((2, len(some), WIDTH))
+        document = np.repeat(np.arange(len(some)), np.diff(upto)[some])
+        for low in range(0, len(bucket), UNITS):
+            own, here = table[bucket[low : low + UNITS]], document[low : low + UNITS]
+            starts_here = np.flatnonzero(np.diff(np.append(-1, here)))
+            sums[0, here[starts_here]] += np.add.reduceat(own, starts_here)
+            sums[1, here[starts_here]] += np.add.reduceat(own * own, starts_here)
+        mean = sums[0] / n
+        spread = np.sqrt(np.maximum(sums[1] / n - mean * mean, 0))
         total = np.append(0, np.cumsum(_UPPER[buf]))
         upper = np.diff(total[offsets])[some] / np.diff(offsets)[some]
         marks = np.add.reduceat((_KIND[buf[starts]] == 3).astype(np.float32), at) / n[:, 0]

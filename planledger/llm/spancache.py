@@ -13,6 +13,9 @@ import numpy as np
 
 from planledger.llm.textbytes import span_hashes
 
+#: Spans looked up together, so that a very long text takes no more memory than others.
+SPANS = 1 << 17
+
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
@@ -31,7 +34,14 @@ class SpanCache:
         self.used = 0
 
     def ids(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all spans one after another, and how many each span has."""
+        """The ids of all spans one after another, and how many each of the sorted spans has."""
+        if len(starts) > SPANS:
+            parts = []
+            for low in range(0, len(starts), SPANS):
+                a, b = starts[low : low + SPANS], ends[low : low + SPANS]
+                parts.append(self.ids(buf[a[0] : b[-1]], a - a[0], b - a[0]))
+            ids, counts = zip(*parts, strict=True)
+            return np.concatenate(ids), np.concatenate(counts)
         hashes = span_hashes(buf, starts, ends) | np.uint64(1)
         slot = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         start, count = self.start[slot], self.count[slot]

@@ -47,6 +47,22 @@ def test_span_hashes_depend_on_the_bytes_only():
     assert bytes(LOWER[np.frombuffer("AZé[".encode(), np.uint8)]).decode() == "azé["
 
 
+def test_span_cache_gives_every_span_its_ids(monkeypatch):
+    """With few slots, little room and small slices, which change no result."""
+    from planledger.llm import spancache
+
+    monkeypatch.setattr(spancache, "SPANS", 50)
+    encode = lambda spans: (np.array([b for s in spans for b in s], np.int32), np.array([len(s) for s in spans], np.int32))
+    cache = spancache.SpanCache(encode, bits=3, room=64)
+    rng = random.Random(3)
+    for _ in range(20):
+        text = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(130)).encode()
+        buf = np.frombuffer(text, np.uint8)
+        starts, ends = word_spans(buf, np.array([0, len(text)]))
+        ids, counts = cache.ids(buf, starts, ends)
+        assert bytes(ids.tolist()) == text.replace(b" ", b"") and counts.tolist() == (ends - starts).tolist()
+
+
 # SentencePiece
 
 
