@@ -70,11 +70,35 @@ def format_preferences(
     )
 
 
-#: Over ``conversations``, with neighbours 2p (chosen) and 2p + 1 (rejected) as pair p.
+def mismatched_replies(said: DataFrame, role: str = TRAINED[0]) -> DataFrame:
+    """(pair_id, side, turn, role, text) from conversations (conv_id, turn, role, text) that carry
+    no preferences: a conversation up to its last reply is chosen, and rejected is the same with
+    the last reply of its neighbour (2p for 2p + 1 and back) in place of its own.
+
+    Conversations without reply make no pair; without a neighbour's reply nothing takes its place.
+    """
+    own = said.filter("conv_id is not null and turn is not null").select("conv_id", "turn", "role", "text")
+    last = F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("reply"))).alias("last")
+    replies = own.filter(F.col("role") == role).groupBy("conv_id").agg(last).select("conv_id", F.col("last.turn").alias("last_turn"), "last.reply")
+    upto = own.join(replies.select("conv_id", "last_turn"), "conv_id").filter("turn <= last_turn")
+    others = replies.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("text"))
+    swapped = replies.join(others, "conv_id").select("conv_id", F.col("last_turn").alias("turn"), F.lit(role).alias("role"), "text")
+    chosen = upto.drop("last_turn").withColumn("side", F.lit("chosen"))
+    rejected = upto.filter("turn < last_turn").drop("last_turn").unionByName(swapped).withColumn("side", F.lit("rejected"))
+    return chosen.unionByName(rejected).withColumnRenamed("conv_id", "pair_id")
+
+
+#: ``format_preferences(mismatched_replies(conversations))`` as SQL, with digests of the texts.
 PREFERENCES_SQL = """
-WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(role, '') AS role, coalesce(text, '') AS text,
-                  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
-           FROM conversations WHERE conv_id IS NOT NULL),
+WITH replies AS (SELECT conv_id, turn AS last_turn, coalesce(text, '') AS reply FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS k FROM conversations
+    WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL) WHERE k = 1),
+upto AS (SELECT c.conv_id, turn, role, text, last_turn FROM conversations c JOIN replies USING (conv_id) WHERE turn <= last_turn),
+turns AS (SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM upto
+          UNION ALL SELECT conv_id, 1, turn, role, text FROM upto WHERE turn < last_turn
+          UNION ALL SELECT a.conv_id, 1, a.last_turn, 'assistant', b.reply FROM replies a JOIN replies b ON b.conv_id = xor(a.conv_id, 1)),
+t AS (SELECT pair_id, side, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS i FROM turns),
 met AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.i, r.i) AS i,
                coalesce(c.role = r.role AND c.text = r.text, false) AS same
         FROM (SELECT * FROM t WHERE side = 0) c FULL JOIN (SELECT * FROM t WHERE side = 1) r ON c.pair_id = r.pair_id AND c.i = r.i),

@@ -8,7 +8,7 @@ from planledger.llm.exact_topk import exact_top_k
 from planledger.llm.line_templates import LINE_DEDUP_SQL, dedup_lines
 from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
-from planledger.llm.preferences import PREFERENCES_SQL, format_preferences
+from planledger.llm.preferences import PREFERENCES_SQL, format_preferences, mismatched_replies
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
@@ -88,13 +88,7 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table has no preferences: of neighbours 2p and 2p + 1, the first counts as chosen."""
-    said = _table(spark, sf_dir, "conversations")
-    turns = said.select(
-        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
-        F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"),
-        "turn", "role", "text",
-    )
+    turns = mismatched_replies(_table(spark, sf_dir, "conversations"))
     spans = lambda name: F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(name)
     return format_preferences(turns).select(
         "pair_id", "n_prompt_turns",

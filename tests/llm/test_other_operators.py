@@ -130,6 +130,18 @@ def test_preferences(spark):
     assert preferences.format_preferences(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_mismatched_replies(spark):
+    said = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (0, 2, "user", "c"), (1, 0, "user", "d"), (1, 1, "assistant", "e"),
+            (2, 0, "user", "f"), (2, 1, "assistant", None), (4, 0, "user", "g"), (None, 0, "user", "h"), (5, None, "user", "i")]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").withColumn("side", F.lit(1))
+    out = {r.pair_id: r for r in preferences.format_preferences(preferences.mismatched_replies(df)).collect()}
+    assert sorted(out) == [0, 1, 2]
+    assert {k: r.n_prompt_turns for k, r in out.items()} == {0: 1, 1: 1, 2: 1}
+    reply = lambda t: f"<|assistant|>\n{t}<|end|>\n"
+    assert [(out[k].chosen, out[k].rejected) for k in (0, 1, 2)] == [
+        (reply("b"), reply("e")), (reply("e"), reply("b")), (reply(""), "")]
+
+
 # WARC
 
 
