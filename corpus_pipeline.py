@@ -13,7 +13,7 @@ from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import redact_secrets
-from planledger.llm.storage import saved
+from planledger.llm.storage import importable, saved
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,6 +25,7 @@ def _documents(df: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below one half go. Learns from the labels of documents not held out."""
+    importable(spark)
     own = docs.select(*COLUMNS)
     model = fit(own, spark.read.parquet(f"{sf_dir}/labels.parquet"), usable=~held_out())
     return score_quality(own, model).filter("score >= 0.5").select(*COLUMNS)
@@ -32,6 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go from all documents but the first; a document goes with its last line."""
+    importable(spark)
     found = dedup_lines(docs.select(*COLUMNS))
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.col("text"), F.lit(" \n\t\r")) == "")
     return _documents(found.filter(~emptied))
@@ -39,6 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
+    importable(spark)
     own = docs.select(*COLUMNS)
     gone = near_duplicates(own).filter(~F.col("kept")).select(F.col("doc").alias("doc_id")).distinct()
     return own.join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -46,11 +49,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write a placeholder over every secret; no document goes."""
+    importable(spark)
     return _documents(redact_secrets(docs.select(*COLUMNS)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut documents into pieces and place them into sequences of 4096 ids."""
+    importable(spark)
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")

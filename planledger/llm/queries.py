@@ -12,11 +12,13 @@ from planledger.llm.preferences import PREFERENCES_SQL, format_preferences, mism
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
+from planledger.llm.storage import importable
 from planledger.llm.vantage import nearest
 from planledger.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

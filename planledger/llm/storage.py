@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/planledger/{name}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that find this package at the driver's path import it from there,
+    wherever the driver was started. On a cluster the package is installed or shipped as usual."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """``folder`` as a URI, with the file system that Spark takes for it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
