@@ -5,6 +5,13 @@ become ``<*>``; the token count and the first ``depth`` tokens give its leaf. In
 leaf, a token that fewer than ``min_docs`` documents have at its place is a
 variable field and generalises to ``<*>`` as well, so long as at least
 ``similarity`` of the line stays constant; otherwise the line is its own template.
+With ``share``, a token must also be as common as its line: the documents it has at
+its place are at least that share of those of the line's usual token, the one down to
+which ``similarity`` of the line is more common. For lines of one template that is about
+the template's own number of documents, however many other templates share the leaf, so
+that the values of a field stay variable when the corpus grows and each of them reaches
+``min_docs``. Lines with one template without ``share`` have one with it: it only joins
+templates, and what recurs without it does so with it.
 A template that occurs in at least ``min_docs`` documents recurs: its lines stay
 in the document with the smallest key and are dropped from all others.
 
@@ -22,7 +29,7 @@ Rows with equal key and text are one document. Extra columns stay; ``n_lines`` a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from planledger.llm.storage import saved
 from planledger.operators.joins import split_join
@@ -60,8 +67,17 @@ def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "
     return split_join(left, right.hint("merge"), on, how)
 
 
+def _common(constant: GroupedData, similarity: float, share: float) -> DataFrame:
+    """(leaf, line, template) of lines whose tokens are constant as compared with each other."""
+    tokens = F.sort_array(F.collect_list(F.struct("docs", "token")), asc=False)
+    held = constant.agg(tokens.alias("held"), F.max("n").alias("n")).filter(F.size("held") >= similarity * F.col("n"))
+    usual = held.withColumn("usual", F.element_at("held", F.greatest(F.ceil(similarity * F.col("n")), F.lit(1)).cast("int"))["docs"])
+    common = F.filter("held", lambda t: t["docs"] >= share * F.col("usual"))
+    return usual.select("leaf", "line", F.xxhash64("leaf", common).alias("template"))
+
+
 def template_lines(
-    docs: DataFrame, key: str, text: str, min_docs: int, min_tokens: int, depth: int, similarity: float
+    docs: DataFrame, key: str, text: str, min_docs: int, min_tokens: int, depth: int, similarity: float, share: float
 ) -> DataFrame:
     """(doc, text_hash, pos, template) of the lines in leaves with enough documents."""
     index = saved(masked_lines(docs, key, text, min_tokens, depth).drop("masked", "n"), "lines")
@@ -81,14 +97,16 @@ def template_lines(
         .drop("place")
     )
     tokens = saved(tokens, "tokens")
-    fixed = tokens.groupBy("leaf", "token").agg(F.sum("w").alias("docs")).filter(F.col("docs") >= min_docs).select("leaf", "token")
-    constant = _joined(tokens, fixed, ["leaf", "token"])
-    general = (
-        constant.groupBy("leaf", "line")
-        .agg(F.bit_xor("token").alias("x"), F.count("*").alias("kept"), F.max("n").alias("n"))
-        .filter(F.col("kept") >= similarity * F.col("n"))
-        .select("leaf", "line", F.xxhash64("leaf", "x", "kept").alias("template"))
-    )
+    fixed = tokens.groupBy("leaf", "token").agg(F.sum("w").alias("docs")).filter(F.col("docs") >= min_docs)
+    constant = _joined(tokens, fixed, ["leaf", "token"]).groupBy("leaf", "line")
+    if share:
+        general = _common(constant, similarity, share)
+    else:
+        general = (
+            constant.agg(F.bit_xor("token").alias("x"), F.count("*").alias("kept"), F.max("n").alias("n"))
+            .filter(F.col("kept") >= similarity * F.col("n"))
+            .select("leaf", "line", F.xxhash64("leaf", "x", "kept").alias("template"))
+        )
     found = _joined(index, leaves.select("leaf"), "leaf")
     return _joined(found, general, ["leaf", "line"], "left").select(
         "doc", "text_hash", "pos", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")
@@ -103,10 +121,11 @@ def dedup_lines(
     min_tokens: int = 3,
     depth: int = 3,
     similarity: float = 0.7,
+    share: float = 0.0,
 ) -> DataFrame:
     """Drop recurring lines from ``text``; adds n_lines and n_dropped."""
     own = docs.drop("n_lines", "n_dropped")
-    lines = saved(template_lines(own, key, text, min_docs, min_tokens, depth, similarity), "templates")
+    lines = saved(template_lines(own, key, text, min_docs, min_tokens, depth, similarity, share), "templates")
     holders = lines.groupBy("template", "doc").agg(F.count("*").alias("__c")).drop("__c")
     recurring = (
         holders.groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))

@@ -256,3 +256,25 @@ def test_pipeline_stages(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def staged(spark, stage, rows):
+    """Rows of (doc_id, text) that a stage leaves."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("web"), "n_chars": F.length("text").cast("long")})
+    return sorted((r.doc_id, r.text) for r in stage(spark, docs, SF).collect())
+
+
+def spelled(k):
+    return "q" + "".join("abcdefghij"[int(c)] for c in str(k))
+
+
+@pytest.mark.parametrize("n", [200, 5000])
+def test_pipeline_drops_a_template_with_word_fields_at_any_size(spark, n):
+    """Of two word fields each value comes to stand in three documents and more, most pairs of values in one."""
+    rng = random.Random(n)
+    rows = [(k, f"this page was kept by {spelled(rng.randrange(500))} who lives near {spelled(rng.randrange(500))} since last winter") for k in range(n)]
+    # In the same leaf, a smaller template and a line of its own.
+    rows += [(n + k, f"this page was made for all of us by the club of {spelled(k)}") for k in range(20)]
+    rows += [(n + 50, "this page was never seen in any of the other places before today")]
+    assert [k for k, _ in staged(spark, corpus_pipeline.line_dedup, rows)] == [0, n, n + 50]
