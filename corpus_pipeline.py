@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go from all documents but the first; a document goes with its last line."""
     importable(spark)
-    found = dedup_lines(docs.select(*COLUMNS), share=0.5)
+    found = dedup_lines(docs.select(*COLUMNS), share=0.5, long_tokens=20)
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.col("text"), F.lit(" \n\t\r")) == "")
     return _documents(found.filter(~emptied))
 

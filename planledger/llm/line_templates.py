@@ -13,7 +13,9 @@ that the values of a field stay variable when the corpus grows and each of them
 ``min_docs``. Lines with one template without ``share`` have one with it: it only joins
 templates, and what recurs without it does so with it.
 A template that occurs in at least ``min_docs`` documents recurs: its lines stay
-in the document with the smallest key and are dropped from all others.
+in the document with the smallest key and are dropped from all others. With
+``long_tokens``, a line of that many tokens recurs by itself from two documents on, if
+it is the same in them after masking.
 
 Leaves, lines and templates are counted with partial aggregates, each line once
 per document. Lines that differ only in masked tokens are one row from then on.
@@ -67,6 +69,18 @@ def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "
     return split_join(left, right.hint("merge"), on, how)
 
 
+def counted_lines(docs: DataFrame, key: str, text: str, min_tokens: int, depth: int, long_tokens: int | None) -> tuple[DataFrame, DataFrame]:
+    """All lines as (doc, text_hash, pos, leaf, line), and how many documents have each (w).
+    With ``long_tokens`` also whether a line is long, and the first document that has it."""
+    lines = masked_lines(docs, key, text, min_tokens, depth)
+    if long_tokens is not None:
+        lines = lines.withColumn("long", F.col("n") >= long_tokens)
+    index = saved(lines.drop("masked", "n"), "lines")
+    marks = [] if long_tokens is None else [F.min("doc").alias("first"), F.max("long").alias("long")]
+    once = index.groupBy("leaf", "line", "doc").agg(F.count("*").alias("__c"), *marks[1:]).drop("__c")
+    return index, saved(once.groupBy("leaf", "line").agg(F.count("*").alias("w"), *marks), "counts")
+
+
 def _common(constant: GroupedData, similarity: float, share: float) -> DataFrame:
     """(leaf, line, template) of lines whose tokens are constant as compared with each other."""
     tokens = F.sort_array(F.collect_list(F.struct("docs", "token")), asc=False)
@@ -77,12 +91,10 @@ def _common(constant: GroupedData, similarity: float, share: float) -> DataFrame
 
 
 def template_lines(
-    docs: DataFrame, key: str, text: str, min_docs: int, min_tokens: int, depth: int, similarity: float, share: float
+    docs: DataFrame, index: DataFrame, counts: DataFrame,
+    key: str, text: str, min_docs: int, min_tokens: int, depth: int, similarity: float, share: float,
 ) -> DataFrame:
     """(doc, text_hash, pos, template) of the lines in leaves with enough documents."""
-    index = saved(masked_lines(docs, key, text, min_tokens, depth).drop("masked", "n"), "lines")
-    once = index.groupBy("leaf", "line", "doc").agg(F.count("*").alias("__c")).drop("__c")
-    counts = saved(once.groupBy("leaf", "line").agg(F.count("*").alias("w")), "counts")
     leaves = counts.groupBy("leaf").agg(F.sum("w").alias("docs"), F.count("*").alias("lines")).filter(F.col("docs") >= min_docs)
     leaves = saved(leaves.select("leaf", "lines"), "leaves")
 
@@ -91,7 +103,7 @@ def template_lines(
     whole = masked_lines(docs, key, text, min_tokens, depth).select("leaf", "line", "n", "masked")
     texts = _joined(whole, wide, "leaf").groupBy("leaf", "line").agg(F.max("n").alias("n"), F.max("masked").alias("masked"))
     tokens = (
-        texts.join(counts, ["leaf", "line"])
+        texts.join(counts.select("leaf", "line", "w"), ["leaf", "line"])
         .select("leaf", "line", "n", "w", F.posexplode(F.split("masked", " ")).alias("place", "token"))
         .withColumn("token", F.xxhash64("place", "token"))
         .drop("place")
@@ -107,7 +119,7 @@ def template_lines(
             .filter(F.col("kept") >= similarity * F.col("n"))
             .select("leaf", "line", F.xxhash64("leaf", "x", "kept").alias("template"))
         )
-    found = _joined(index, leaves.select("leaf"), "leaf")
+    found = _joined(index.select("doc", "text_hash", "pos", "leaf", "line"), leaves.select("leaf"), "leaf")
     return _joined(found, general, ["leaf", "line"], "left").select(
         "doc", "text_hash", "pos", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")
     )
@@ -122,16 +134,23 @@ def dedup_lines(
     depth: int = 3,
     similarity: float = 0.7,
     share: float = 0.0,
+    long_tokens: int | None = None,
 ) -> DataFrame:
     """Drop recurring lines from ``text``; adds n_lines and n_dropped."""
     own = docs.drop("n_lines", "n_dropped")
-    lines = saved(template_lines(own, key, text, min_docs, min_tokens, depth, similarity, share), "templates")
+    index, counts = counted_lines(own, key, text, min_tokens, depth, long_tokens)
+    lines = saved(template_lines(own, index, counts, key, text, min_docs, min_tokens, depth, similarity, share), "templates")
     holders = lines.groupBy("template", "doc").agg(F.count("*").alias("__c")).drop("__c")
     recurring = (
         holders.groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
         .filter(F.col("docs") >= min_docs).select("template", "first")
     )
-    dropped = _joined(lines, recurring, "template").filter("doc <> first")
+    dropped = _joined(lines, recurring, "template").filter("doc <> first").select("doc", "text_hash", "pos")
+    if long_tokens is not None:
+        # The first document of a template is also the first of each of its lines.
+        repeated = counts.filter("long and w > 1").select("leaf", "line", "first")
+        twice = _joined(index.filter("long"), repeated, ["leaf", "line"]).filter("doc <> first")
+        dropped = dropped.unionByName(twice.select("doc", "text_hash", "pos"))
     gone = dropped.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
     gone = gone.select(F.col("doc").alias(key), F.col("text_hash").alias("__hash"), "__gone")
     joined = own.withColumn("__hash", F.xxhash64(text)).join(gone.hint("merge"), [key, "__hash"], "left")

@@ -278,3 +278,16 @@ def test_pipeline_drops_a_template_with_word_fields_at_any_size(spark, n):
     rows += [(n + k, f"this page was made for all of us by the club of {spelled(k)}") for k in range(20)]
     rows += [(n + 50, "this page was never seen in any of the other places before today")]
     assert [k for k, _ in staged(spark, corpus_pipeline.line_dedup, rows)] == [0, n, n + 50]
+
+
+def test_pipeline_drops_a_long_line_from_two_documents_on(spark):
+    line = lambda n, k=7: " ".join([*map(spelled, range(n - 1)), f"{k}th"])
+    own = [f"own {spelled(k)} body" for k in range(9)]
+    rows = [(1, f"{own[1]}\n{line(20)}"), (2, f"{line(20, 8)}\n{own[2]}"), (3, f"{own[3]}\n{line(19)}"), (4, f"{line(19, 8)}\n{own[4]}"),
+            # Twice in one document only, and two forms of one template in two documents.
+            (5, f"{line(30)}\n{own[5]}\n{line(30)}"), (6, f"{line(40)} {own[6]}"), (7, f"{line(40)} {own[7]}")]
+    want = [(k, own[2] if k == 2 else t) for k, t in rows]
+    assert staged(spark, corpus_pipeline.line_dedup, rows) == want
+    # In three documents, by its template or by itself: it stays in the first.
+    rows = [(k, f"{own[k]}\n{line(25, k)}") for k in (5, 3, 4)] + [(8, f"{line(26)} {own[0]}"), (6, f"{line(26)} {own[1]}"), (7, f"{line(26)} {own[0]}")]
+    assert staged(spark, corpus_pipeline.line_dedup, rows) == [(3, rows[1][1]), (4, own[4]), (5, own[5]), (6, rows[4][1])]
