@@ -40,11 +40,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group of near-duplicates the document with the smallest id stays. Rows of one
+    id on different texts go or stay each by its own text."""
     importable(spark)
     own = docs.select(*COLUMNS)
-    gone = near_duplicates(own).filter(~F.col("kept")).select(F.col("doc").alias("doc_id")).distinct()
-    return own.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    found = near_duplicates(own, text_hash=True).filter(~F.col("kept"))
+    gone = found.select(F.col("doc").alias("doc_id"), "text_hash").distinct()
+    return own.withColumn("text_hash", F.xxhash64("text")).join(gone, ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ set aside, that a join on size classes finds it.
 Null and empty texts and texts without words have the empty set and link with
 nothing. Rows without key link with nothing and stay: their component is null.
 Repeated rows share their component, and of rows that share a key but not the
-text the links of one count for all. Columns of the input are not carried along.
+text the links of one count for all. Columns of the input are not carried along, but
+with ``text_hash`` each row's hash of its text is, which tells such rows apart.
 """
 
 from __future__ import annotations
@@ -93,8 +94,10 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(doc, n_shingles, set_a, set_b, keys): set hashes and band keys of every row."""
+def signatures(docs: DataFrame, key: str, text: str, n: int, text_hash: bool = False) -> DataFrame:
+    """(doc, n_shingles, set_a, set_b, keys): set hashes and band keys of every row;
+    with ``text_hash`` also that."""
+    carried = ["text_hash"] if text_hash else []
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,12 +113,14 @@ def signatures(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
                         pa.array(a),
                         pa.array(b),
                         pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(keys)),
+                        *[batch.column(2).slice(first, len(sets)) for _ in carried],
                     ],
-                    names=["doc", "n_shingles", "set_a", "set_b", "keys"],
+                    names=["doc", "n_shingles", "set_a", "set_b", "keys", *carried],
                 )
 
-    own = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    return own.mapInArrow(sign, "doc long, n_shingles long, set_a long, set_b long, keys array<long>")
+    own = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), *[F.xxhash64(text).alias(c) for c in carried])
+    schema = ", ".join(["doc long, n_shingles long, set_a long, set_b long, keys array<long>", *(f"{c} long" for c in carried)])
+    return own.mapInArrow(sign, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -222,11 +227,13 @@ def _large_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, text_hash: bool = False
 ) -> DataFrame:
     """(doc, n_shingles, component, kept) of every row: documents linked by a similarity
-    of at least ``percent`` hundredths on sets of ``n``-word shingles, directly or in steps."""
-    signed = saved(signatures(docs, key, text, n), "signed")
+    of at least ``percent`` hundredths on sets of ``n``-word shingles, directly or in steps.
+    With ``text_hash`` also that column, xxhash64 of the text."""
+    carried = ["text_hash"] if text_hash else []
+    signed = saved(signatures(docs, key, text, n, text_hash), "signed")
     full = signed.filter("n_shingles > 0 and doc is not null")
     classes = full.groupBy("set_a", "set_b").agg(F.min("doc").alias("rep"))
     classes = saved(classes, "classes")
@@ -255,10 +262,10 @@ def near_duplicates(
     known = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_a", "set_b", F.coalesce("label", "rep").alias("component")
     )
-    own = signed.select("doc", "n_shingles", "set_a", "set_b")
-    linked = split_join(own.filter("n_shingles > 0"), known, ["set_a", "set_b"], "left").select("doc", "n_shingles", "component")
-    alone = own.filter("n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component"))
+    own = signed.select("doc", "n_shingles", "set_a", "set_b", *carried)
+    linked = split_join(own.filter("n_shingles > 0"), known, ["set_a", "set_b"], "left").select("doc", "n_shingles", "component", *carried)
+    alone = own.filter("n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component"), *carried)
     whole = linked.unionByName(alone)
     component = F.when(F.col("doc").isNotNull(), F.col("component"))
     kept = F.coalesce(F.col("doc") == component, F.lit(True))
-    return whole.select("doc", "n_shingles", component.alias("component"), kept.alias("kept"))
+    return whole.select("doc", "n_shingles", component.alias("component"), kept.alias("kept"), *carried)

@@ -262,7 +262,7 @@ def staged(spark, stage, rows):
     """Rows of (doc_id, text) that a stage leaves."""
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("web"), "n_chars": F.length("text").cast("long")})
-    return sorted((r.doc_id, r.text) for r in stage(spark, docs, SF).collect())
+    return sorted(((r.doc_id, r.text) for r in stage(spark, docs, SF).collect()), key=lambda r: (r[0] is None, r[0], str(r[1])))
 
 
 def spelled(k):
@@ -291,3 +291,10 @@ def test_pipeline_drops_a_long_line_from_two_documents_on(spark):
     # In three documents, by its template or by itself: it stays in the first.
     rows = [(k, f"{own[k]}\n{line(25, k)}") for k in (5, 3, 4)] + [(8, f"{line(26)} {own[0]}"), (6, f"{line(26)} {own[1]}"), (7, f"{line(26)} {own[0]}")]
     assert staged(spark, corpus_pipeline.line_dedup, rows) == [(3, rows[1][1]), (4, own[4]), (5, own[5]), (6, rows[4][1])]
+
+
+def test_pipeline_near_dedup_tells_texts_of_one_id_apart(spark):
+    a, b = (" ".join(spelled(k + n) for k in range(40)) for n in (0, 500))
+    rows = [(3, a), (5, a), (5, b), (6, None), (6, ""), (None, a)]
+    want = [(3, a), (5, b), (6, None), (6, ""), (None, a)]
+    assert sorted(staged(spark, corpus_pipeline.near_dedup, rows), key=str) == sorted(want, key=str)
