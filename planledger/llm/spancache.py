@@ -1,8 +1,8 @@
-"""Token ids of spans of text, looked up by the span's 64-bit hash.
+"""Token ids of spans of text, looked up by the span's hash and compared by its bytes.
 
 A direct-mapped table in numpy: one slot per hash prefix, a newer span takes the
 slot of an older one. It only saves work: what is not in it is encoded, and its
-size is fixed.
+size is fixed. Spans whose hashes agree but not their bytes are encoded each.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 import numpy as np
 
-from planledger.llm.textbytes import span_hashes
+from planledger.llm.textbytes import eight_bytes, same_spans, span_hashes, word_view
 
 #: Spans looked up together, so that a very long text takes no more memory than others.
 SPANS = 1 << 17
+#: Longer spans, in bytes, are encoded whenever they come.
+KEPT = 256
 
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
@@ -30,8 +32,19 @@ class SpanCache:
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.start = np.zeros(1 << self.bits, np.int64)
         self.count = np.zeros(1 << self.bits, np.int32)
+        self.byte = np.zeros(1 << self.bits, np.int64)
+        self.size = np.zeros(1 << self.bits, np.int32)
         self.flat = np.zeros(self.room, np.int32)
-        self.used = 0
+        self.bytes = np.zeros(2 * self.room + 8, np.uint8)
+        self.used = self.used_bytes = 0
+
+    def _known(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which spans their slot holds."""
+        known = self.keys[slot] == hashes
+        hit = np.flatnonzero(known)
+        byte = self.byte[slot[hit]]
+        known[hit] = same_spans(words, starts[hit], ends[hit], word_view(self.bytes), byte, byte + self.size[slot[hit]])
+        return known
 
     def ids(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all spans one after another, and how many each of the sorted spans has."""
@@ -42,28 +55,48 @@ class SpanCache:
                 parts.append(self.ids(buf[a[0] : b[-1]], a - a[0], b - a[0]))
             ids, counts = zip(*parts, strict=True)
             return np.concatenate(ids), np.concatenate(counts)
-        hashes = span_hashes(buf, starts, ends) | np.uint64(1)
+        words = eight_bytes(buf)
+        hashes = span_hashes(buf, starts, ends, words) | np.uint64(1)
         slot = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         start, count = self.start[slot], self.count[slot]
-        miss = np.flatnonzero(self.keys[slot] != hashes)
+        miss = np.flatnonzero(~self._known(words, starts, ends, hashes, slot))
         if len(miss):
             _, at, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
             own = miss[at]
+            odd = np.flatnonzero(~same_spans(words, starts[miss], ends[miss], words, starts[own[back]], ends[own[back]]))
+            back[odd] = len(own) + np.arange(len(odd))
+            own = np.append(own, miss[odd])
             data = buf.tobytes()
-            new, sizes = self.encode([data[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)])
+            spans = [data[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+            new, sizes = self.encode(spans)
             if self.used + len(new) > len(self.flat):
                 self.flat = np.concatenate([self.flat[: self.used], new, np.zeros(self.room, np.int32)])
             self.flat[self.used : self.used + len(new)] = new
             first = self.used + np.cumsum(sizes) - sizes
             self.used += len(new)
             start[miss], count[miss] = first[back], sizes[back]
-            _, last = np.unique(slot[own][::-1], return_index=True)  # one span for each slot
-            last = len(own) - 1 - last
-            put = slot[own[last]]
-            self.keys[put], self.start[put], self.count[put] = hashes[own[last]], first[last], sizes[last]
+            short = np.flatnonzero(ends[own] - starts[own] <= KEPT)
+            _, last = np.unique(slot[own[short]][::-1], return_index=True)  # one span for each slot
+            self._put(short[len(short) - 1 - last], own, slot, hashes, spans, first, sizes)
         total = int(count.sum())
         behind = np.cumsum(count) - count
         ids = self.flat[np.repeat(start - behind, count) + np.arange(total)]
-        if self.used > self.room:
+        if self.used > self.room or self.used_bytes > self.room:
             self._clear()
         return ids, count
+
+    def _put(
+        self, last: np.ndarray, own: np.ndarray, slot: np.ndarray, hashes: np.ndarray,
+        spans: list[bytes], first: np.ndarray, sizes: np.ndarray,
+    ) -> None:
+        """Give the new spans numbered ``last`` their slots."""
+        kept = [spans[k] for k in last.tolist()]
+        raw = np.frombuffer(b"".join(kept), np.uint8)
+        if self.used_bytes + len(raw) + 8 > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes[: self.used_bytes], raw, np.zeros(self.room + 8, np.uint8)])
+        self.bytes[self.used_bytes : self.used_bytes + len(raw)] = raw
+        size = np.fromiter(map(len, kept), np.int32, len(kept))
+        put = slot[own[last]]
+        self.keys[put], self.start[put], self.count[put] = hashes[own[last]], first[last], sizes[last]
+        self.byte[put], self.size[put] = self.used_bytes + np.cumsum(size) - size, size
+        self.used_bytes += len(raw)

@@ -1,9 +1,10 @@
 """Texts as UTF-8 bytes in numpy: splitting and hashing spans without a Python loop per word.
 
-A span's hash is a polynomial over a random value per byte, modulo 2**64, then
-mixed. Prefix sums of the polynomial give the hash of every span of a buffer at
-once. Buffers are worked on in blocks of ``BLOCK`` bytes, so memory stays
-bounded for a text of any length.
+A span is read as little-endian words of eight bytes, the last one padded with zeros.
+Each word is mixed with its place, and the sum of these is mixed with the span's length:
+no algebra carries from the bytes to the hash, so spans built from repeated or mirrored
+parts don't collide. Words are worked on ``WORDS`` at a time, texts in blocks of ``BLOCK``
+bytes, so memory stays bounded for a span and a text of any length.
 """
 
 from __future__ import annotations
@@ -14,19 +15,11 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 19
-_rng = np.random.Generator(np.random.PCG64(20240229))
-_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int) -> np.ndarray:
-    out = np.full(BLOCK, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWERS, _INVERSES = _powers(_BASE), _powers(_INVERSE)
+#: Words of eight bytes looked at together.
+WORDS = 1 << 17
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+#: What of a word belongs to a span that has k bytes left, for k up to 8.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 #: The bytes that separate words: space, tab, line feed, vertical tab, form feed, return.
 SPACE = np.zeros(256, bool)
@@ -43,29 +36,67 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _prefix(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The polynomial of ``buf[:p]`` for every p of the sorted positions ``at``."""
-    out = np.empty(len(at), np.uint64)
-    carry, scale = 0, 1
-    for low in range(0, len(buf) + 1, BLOCK):
-        a, b = np.searchsorted(at, [low, low + BLOCK])
-        part = buf[low : low + BLOCK]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_VALUES[part] * _POWERS[: len(part)], out=sums[1:])
-        out[a:b] = sums[at[a:b] - low] * np.uint64(scale) + np.uint64(carry)
-        carry = (carry + int(sums[-1]) * scale) % (1 << 64)
-        scale = scale * pow(_BASE, BLOCK, 1 << 64) % (1 << 64)
-    return out
-
-
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``buf[start:end]`` for each of the sorted, disjoint spans."""
-    hashes = _prefix(buf, ends) - _prefix(buf, starts)
-    block, rest = np.divmod(starts, BLOCK)
-    hashes *= _INVERSES[rest]
-    for k in np.unique(block[block > 0]):
-        hashes[block == k] *= np.uint64(pow(_INVERSE, int(k) * BLOCK, 1 << 64))
-    return mix(hashes + (ends - starts).astype(np.uint64))
+def eight_bytes(buf: np.ndarray) -> np.ndarray:
+    """The little-endian word that begins at each place of ``buf`` and at its end."""
+    return word_view(np.append(buf, np.zeros(8, np.uint8)))
+
+
+def word_view(padded: np.ndarray) -> np.ndarray:
+    """The same for bytes that have eight more behind them, over the bytes themselves."""
+    return np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+
+
+def span_words(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of the words of spans: (first span, end span, where each one's words begin in
+    the slice, place of each word in its span, the span of each word less the first)."""
+    counts = (ends - starts + 7) >> 3
+    upto = np.cumsum(counts)
+    total = int(upto[-1]) if len(upto) else 0
+    for low in range(0, total, WORDS):
+        high = min(low + WORDS, total)
+        a, b = int(np.searchsorted(upto, low, "right")), int(np.searchsorted(upto, high, "left")) + 1
+        if low == 0 and high == total:
+            own, begin, skip = counts, upto - counts, None
+        else:
+            begin = np.maximum(upto[a:b] - counts[a:b], low) - low
+            own = np.minimum(upto[a:b], high) - low - begin
+            skip = np.maximum(low - (upto[a:b] - counts[a:b]), 0)
+        a, b = (0, len(counts)) if skip is None else (a, b)
+        span = np.repeat(np.arange(b - a), own)
+        place = np.arange(high - low) - begin[span] + (0 if skip is None else skip[span])
+        yield a, b, begin, place, span
+
+
+def read_words(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The words at ``place`` of the spans numbered ``span``; zeros behind a span's end."""
+    at = starts[span] + 8 * place
+    return words[at] & _KEEP[np.minimum(ends[span] - at, 8)]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of ``buf[start:end]`` for each of the spans; ``words`` saves reading ``buf`` anew."""
+    words, sums = eight_bytes(buf) if words is None else words, np.zeros(len(starts), np.uint64)
+    for a, b, begin, place, span in span_words(starts, ends):
+        own = read_words(words, starts[a:b], ends[a:b], place, span)
+        own = mix(own ^ mix(place.astype(np.uint64) * np.uint64(2) + _SEED))
+        some = np.flatnonzero(np.diff(np.append(begin, len(own))) > 0)
+        sums[a + some] += np.add.reduceat(own, begin[some])
+    return mix(sums + (ends - starts).astype(np.uint64) * _SEED)
+
+
+def same_spans(
+    left: np.ndarray, starts: np.ndarray, ends: np.ndarray, right: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray
+) -> np.ndarray:
+    """Whether the k-th span on the left has the bytes of the k-th one on the right; both
+    texts are given by ``eight_bytes``."""
+    same = ends - starts == other_ends - other_starts
+    rows = np.flatnonzero(same)
+    starts, ends, other_starts, other_ends = starts[rows], ends[rows], other_starts[rows], other_ends[rows]
+    for a, b, _, place, span in span_words(starts, ends):
+        here = read_words(left, starts[a:b], ends[a:b], place, span)
+        there = read_words(right, other_starts[a:b], other_ends[a:b], place, span)
+        same[rows[a + span[here != there]]] = False
+    return same
 
 
 def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

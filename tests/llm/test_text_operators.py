@@ -63,6 +63,50 @@ def test_span_cache_gives_every_span_its_ids(monkeypatch):
         assert bytes(ids.tolist()) == text.replace(b" ", b"") and counts.tolist() == (ends - starts).tolist()
 
 
+def mirrored(n):
+    """Two words of n letters that polynomial hashes modulo powers of two take for one."""
+    signs = np.array([bin(k).count("1") & 1 for k in range(n)], np.uint8)
+    return [((signs ^ flip) + 0x61).tobytes().decode() for flip in (0, 1)]
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 65536])
+def test_mirrored_words_are_told_apart(spark, tiny, n):
+    """In one task and in eight, as the span cache sees both words or one of them."""
+    one, other = mirrored(n)
+    buf = np.frombuffer(f"{one} {other}".encode(), np.uint8)
+    assert len(set(span_hashes(buf, *word_spans(buf, np.array([0, len(buf)]))).tolist())) == 2
+    rows = [(k, (one, other)[k % 2]) for k in range(8)]
+    path = TOKENIZERS.path("word_bpe_49k.json")
+    found = []
+    for parts in (1, 8):
+        docs = frame(spark, rows).repartition(parts)
+        both = sentencepieces.decode_ids(sentencepieces.encode_text(docs, tiny[1]), tiny[1])
+        assert all(r.text == r.decoded for r in both.collect())
+        pieces = packing.tokenize_pieces(docs, path).orderBy("doc_id", "start").collect()
+        found.append([tuple(r) for r in pieces])
+    assert found[0] == found[1]
+    near = rows_by(minmax.near_duplicates(frame(spark, rows).coalesce(1), n=3, percent=85), "doc")
+    assert [r["component"] for r in near] == [0, 1] * 4
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    for key, text in rows[:2]:
+        ids = [i for r in found[0] if r[0] == key for i in r[-1]]
+        assert ids == [*library.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_span_cache_survives_colliding_hashes(monkeypatch):
+    from planledger.llm import spancache
+
+    monkeypatch.setattr(spancache, "span_hashes", lambda buf, starts, ends, words: np.full(len(starts), 77, np.uint64))
+    encode = lambda spans: (np.array([b for s in spans for b in s], np.int32), np.array([len(s) for s in spans], np.int32))
+    cache = spancache.SpanCache(encode, bits=3, room=64)
+    for text in (b"aa bb aa c", b"bb bb", b"dd aa"):
+        buf = np.frombuffer(text, np.uint8)
+        ids, counts = cache.ids(buf, *word_spans(buf, np.array([0, len(text)])))
+        assert bytes(ids.tolist()) == text.replace(b" ", b"") and counts.tolist() == [len(w) for w in text.split()]
+
+
 # SentencePiece
 
 
