@@ -37,7 +37,7 @@ PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 _encoders: dict[str, SpanCache] = {}
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as themselves, the rest from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = [b for b in range(256) if b not in plain]
@@ -52,7 +52,7 @@ def word_encoder(path: str) -> SpanCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        merge, letters = tokenizer.model.tokenize, _byte_letters()
+        merge, letters = tokenizer.model.tokenize, byte_letters()
 
         def encode(spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             found: list[list[int]] = [[]] * len(spans)

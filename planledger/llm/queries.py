@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from planledger.llm.alignment import align_tokenizers
+from planledger.llm.balance import shard_documents
 from planledger.llm.exact_topk import exact_top_k
+from planledger.llm.infilling import INFILLING_SQL, fill_in_middle, frame_texts
 from planledger.llm.line_templates import LINE_DEDUP_SQL, dedup_lines
 from planledger.llm.minmax import near_duplicates
 from planledger.llm.packing import pack_documents
@@ -12,7 +15,7 @@ from planledger.llm.preferences import PREFERENCES_SQL, format_preferences, mism
 from planledger.llm.quality import fit, held_out, score_quality
 from planledger.llm.secret_scan import scan_secrets
 from planledger.llm.sentencepieces import decode_ids, encode_text, load_pieces
-from planledger.llm.storage import importable
+from planledger.llm.storage import importable, saved
 from planledger.llm.vantage import nearest
 from planledger.llm.warc import archive_pages
 
@@ -104,6 +107,20 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_in_middle(saved(frame_texts(docs), "frames"), keep_output=False)
+
+
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"), keep_groups=False)
+
+
 QUERIES = {
     "op1_sentencepiece": sentencepiece,
     "op2_line_dedup": line_dedup,
@@ -115,9 +132,13 @@ QUERIES = {
     "op8_secret_scan": secret_scan,
     "op9_preferences": preferences,
     "op10_warc": warc,
+    "op11_karmarkar_karp": sharding,
+    "op12_fill_in_middle": infilling,
+    "op13_cross_alignment": alignment,
 }
 #: Queries that SQL can express on whole tables.
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP_SQL,
     "op9_preferences": PREFERENCES_SQL,
+    "op12_fill_in_middle": INFILLING_SQL,
 }
