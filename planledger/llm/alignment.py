@@ -6,7 +6,7 @@ the same byte, the text is cut into groups; the two tokens that end there are li
 The first pass counts per task how often each pair of ids is linked. The distinct
 pairs get a minimal perfect hash, each task's counts become a dense vector indexed by
 it, and these are summed as a tree. The second pass aligns every document again and
-looks its links up, compared with the pairs themselves.
+looks its links up, compared with the pairs themselves, when a span of text is first met.
 
 Of two linked tokens one is a suffix of the other, as both end at the same byte. So
 there are at most as many pairs as the tokens of both vocabularies have suffixes, at
@@ -28,6 +28,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from copy import copy
 from itertools import chain, pairwise
 from pathlib import Path
 
@@ -43,6 +44,8 @@ from planledger.llm.textbytes import text_blocks
 
 #: Spans whose alignments are held at a time.
 SLICE = 1 << 15
+#: Numbers at the head of a span's record.
+_HEAD = 7
 #: Spans that are encoded together.
 _JOINED = 128
 #: Distinct pairs a task holds before it merges them.
@@ -101,10 +104,14 @@ class Strings:
 class Aligner:
     """Both vocabularies, and the alignments of spans seen so far. One per worker process and pair of files.
 
-    A span's record is the numbers of its A ids, B ids, groups and bytes of text, then
-    the A ids and the B ids of its links, then its groups as text, ``;`` in front of each.
+    A span's record is the numbers of its A ids, B ids, links and bytes of text, how many links
+    are best, and the sum of their counts (in two halves). While pairs are counted, the A ids
+    and the B ids of its links follow. With the counts known (``looking_up``), its groups follow
+    as text, ``;`` in front of each.
     """
 
+    known: tuple[PerfectHash, np.ndarray, np.ndarray] | None = None
+
     def __init__(self, path_a: str, path_b: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -127,6 +134,13 @@ class Aligner:
         self.numbers = Strings([b",%d" % i for i in range(most)])
         self.cache = SpanCache(self._records, bits=19, room=1 << 23)
 
+    def looking_up(self, index: PerfectHash, counts: np.ndarray, best: np.ndarray) -> Aligner:
+        """The same with each pair's count, and whether it is its B id's highest one."""
+        other = copy(self)
+        other.known = index, counts, best
+        other.cache = SpanCache(other._records, bits=19, room=1 << 23)
+        return other
+
     def _ids_a(self, spans: list[bytes], texts: list[str]) -> np.ndarray:
         """The ids of all spans one after another. Those in front of which any text may be cut
         are encoded many at a time."""
@@ -156,7 +170,7 @@ class Aligner:
         # The usual case: both spell all the spans. Else it is found out which don't.
         if not (self.bytes_a.joined(a) == raw == self.bytes_b.joined(b) and np.isin(stops, ends_a).all() and np.isin(stops, ends_b).all()):
             if len(spans) == 1:
-                return np.array([-1, 0, 0, 0], np.int32), np.array([4], np.int32)
+                return np.array([-1] + [0] * (_HEAD - 1), np.int32), np.array([_HEAD], np.int32)
             half = len(spans) // 2
             parts = [self._records(spans[:half]), self._records(spans[half:])]
             return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -166,31 +180,43 @@ class Aligner:
         last_a, last_b = common[ends_a] == 2, common[ends_b] == 2
         first_a, first_b = np.append(True, last_a[:-1]), np.append(True, last_b[:-1])
         group_a, group_b = np.cumsum(first_a) - 1, np.cumsum(first_b) - 1
-        # Each group's A ids, then its B ids, as text: a separator and a number each.
-        total = len(a) + len(b)
+        # Where each span's tokens and links end.
+        upto = [np.searchsorted(x, stops, "right") for x in (ends_a, ends_b, ends_a[last_a])]
+        n_a, n_b, n_links = (np.diff(x, prepend=0) for x in upto)
+        n_text, n_best, sums = (np.zeros(len(spans), np.int64) for _ in range(3))
+        if self.known:
+            text, behind = self._spelled(a, b, first_a, first_b, group_a, group_b)
+            n_text = np.diff(np.append(0, behind)[upto[0] + upto[1]], prepend=0)
+            index, counts, best = self.known
+            at = index.find(pair_keys(a[last_a], b[last_b]))
+            if (at < 0).any():
+                raise ValueError("a link was not counted")
+            n_best, sums = (np.diff(np.append(0, np.cumsum(x[at]))[upto[2]], prepend=0) for x in (best.astype(np.int64), counts))
+        out_sizes = _HEAD + (0 if self.known else 2 * n_links) + (n_text + 3 >> 2)
+        begin = np.cumsum(out_sizes) - out_sizes
+        out = np.zeros(int(out_sizes.sum()), np.int32)
+        halves = sums.astype("<i8").view(np.int32).reshape(-1, 2)
+        out[begin[:, None] + np.arange(_HEAD)] = np.column_stack([n_a, n_b, n_links, n_text, n_best, halves])
+        if self.known:
+            out.view(np.uint8)[spread(4 * (begin + _HEAD), n_text)] = text
+        else:
+            place = spread(begin + _HEAD, n_links)
+            out[place], out[place + np.repeat(n_links, n_links)] = a[last_a], b[last_b]
+        return out, out_sizes.astype(np.int32)
+
+    def _spelled(self, a, b, first_a, first_b, group_a, group_b) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
+        """Each group's A ids, then its B ids, as text, and where each number of it ends."""
         upto_a, upto_b = np.cumsum(np.bincount(group_a)), np.cumsum(np.bincount(group_b))
         place_a = np.arange(len(a)) + np.append(0, upto_b)[group_a]
         place_b = np.arange(len(b)) + upto_a[group_b]
-        order = np.zeros(total, np.int64)
-        separators = np.zeros(total, np.uint8)
+        order, separators = np.zeros(len(a) + len(b), np.int64), np.zeros(len(a) + len(b), np.uint8)
         order[place_a], order[place_b] = a, b
         separators[place_a], separators[place_b] = np.where(first_a, 0x3B, 0x2C), np.where(first_b, 0x7C, 0x2C)
         width = self.numbers.sizes[order]
         text = np.frombuffer(self.numbers.joined(order), np.uint8).copy()
         behind = np.cumsum(width)
         text[behind - width] = separators
-        # Where each span's tokens, links and text end.
-        upto = [np.searchsorted(x, stops, "right") for x in (ends_a, ends_b, ends_a[last_a])]
-        n_a, n_b, n_links = (np.diff(x, prepend=0) for x in upto)
-        n_text = np.diff(np.append(0, behind)[upto[0] + upto[1]], prepend=0)
-        out_sizes = 4 + 2 * n_links + (n_text + 3 >> 2)
-        begin = np.cumsum(out_sizes) - out_sizes
-        out = np.zeros(int(out_sizes.sum()), np.int32)
-        out[begin[:, None] + np.arange(4)] = np.column_stack([n_a, n_b, n_links, n_text])
-        place = spread(begin + 4, n_links)
-        out[place], out[place + np.repeat(n_links, n_links)] = a[last_a], b[last_b]
-        out.view(np.uint8)[spread(4 * (begin + 4 + 2 * n_links), n_text)] = text
-        return out, out_sizes.astype(np.int32)
+        return text, behind
 
     def blocks(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, Iterator[Slice]]]:
         """(first row, end row, which rows have tokens, slices of these rows' alignments)."""
@@ -227,7 +253,7 @@ class Slice:
     def __init__(self, doc: np.ndarray, records: np.ndarray, sizes: np.ndarray) -> None:
         self.doc, self.records = doc, records
         self.at = np.cumsum(sizes, dtype=np.int64) - sizes
-        self.head = records[self.at[:, None] + np.arange(4)].astype(np.int64)
+        self.head = records[self.at[:, None] + np.arange(_HEAD)]
 
     def of(self, valid: np.ndarray) -> Slice:
         """Only the spans of these rows."""
@@ -235,17 +261,26 @@ class Slice:
             self.doc, self.at, self.head = self.doc[keep], self.at[keep], self.head[keep]
         return self
 
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, A id, B id) of each link."""
-        count = self.head[:, 2]
-        place = spread(self.at + 4, count)
-        return np.repeat(self.doc, count), self.records[place], self.records[place + np.repeat(count, count)]
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """The A ids and the B ids of the links."""
+        count = self.head[:, 2].astype(np.int64)
+        place = spread(self.at + _HEAD, count)
+        return self.records[place], self.records[place + np.repeat(count, count)]
+
+    def sums(self, rows: int) -> np.ndarray:
+        """n_a, n_b, n_groups, n_best and count_sum of each row, as far as its spans are here."""
+        out = np.zeros((rows, 5), np.int64)
+        if len(self.doc):
+            each = np.column_stack([self.head[:, [0, 1, 2, 4]].astype(np.int64), np.ascontiguousarray(self.head[:, 5:]).view("<i8")])
+            first = np.flatnonzero(np.diff(self.doc, prepend=-1))
+            out[self.doc[first]] = np.add.reduceat(each, first, axis=0)
+        return out
 
     def spelled(self) -> Iterator[tuple[int, memoryview]]:
         """(row, its groups as text) for each row with spans here."""
-        size, begin = self.head[:, 3], 4 * (self.at + 4 + 2 * self.head[:, 2])
+        size = self.head[:, 3].astype(np.int64)
         upto = np.append(0, np.cumsum(size))
-        whole = memoryview(self.records.view(np.uint8)[spread(begin, size)])
+        whole = memoryview(self.records.view(np.uint8)[spread(4 * (self.at + _HEAD), size)])
         first = np.flatnonzero(np.diff(self.doc, prepend=-1))
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(self.doc)], strict=True):
             yield int(self.doc[a]), whole[upto[a] : upto[b]]
@@ -272,8 +307,7 @@ def link_counts(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -
         for batch in batches:
             for _, _, _, slices in both.blocks(batch.column(0)):
                 for own in slices:
-                    _, a, b = own.links()
-                    parts.append(np.unique(pair_keys(a, b), return_counts=True))
+                    parts.append(np.unique(pair_keys(*own.links()), return_counts=True))
                     held += len(parts[-1][0])
                     if held > _MERGE:
                         parts = [_summed(parts)]
@@ -295,39 +329,28 @@ def align_tokenizers(
     best = np.zeros(int((index.keys & 0xFFFFFFFF).max(initial=-1)) + 1, np.int64)
     np.maximum.at(best, index.keys & 0xFFFFFFFF, counts)
     # As many entries as pairs: bounded by the suffixes of the vocabularies' tokens.
-    shared = docs.sparkSession.sparkContext.broadcast((index, counts, best))
+    shared = docs.sparkSession.sparkContext.broadcast((index, counts, counts == best[index.keys & 0xFFFFFFFF]))
     rest = [f for f in docs.schema if f.name != text and f.name not in RESULT]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(path_a, path_b)
+        both = aligner(path_a, path_b).looking_up(*shared.value)
         for batch in batches:
             for first, end, valid, slices in both.blocks(batch.column(len(rest))):
-                yield _aligned(batch.slice(first, end - first), len(rest), valid, slices, *shared.value, keep_groups)
+                yield _aligned(batch.slice(first, end - first), len(rest), valid, slices, keep_groups)
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest]
     kinds += [f"{name} {'string' if 'groups_' in name or name == 'groups' else 'long'}" for name in RESULT[: len(RESULT) - (not keep_groups)]]
     return docs.select(*[f"`{f.name}`" for f in rest], text).mapInArrow(align, ", ".join(kinds))
 
 
-def _aligned(
-    rows: pa.RecordBatch, width: int, valid: np.ndarray, slices: Iterator[Slice],
-    index: PerfectHash, counts: np.ndarray, best: np.ndarray, keep_groups: bool,
-) -> pa.RecordBatch:
+def _aligned(rows: pa.RecordBatch, width: int, valid: np.ndarray, slices: Iterator[Slice], keep_groups: bool) -> pa.RecordBatch:
     """The result for the rows of a block."""
     n = len(valid)
-    sums = np.zeros((6, n), np.int64)
+    sums = np.zeros((n, 5), np.int64)
     digests: dict[int, hashlib._Hash] = {}
     groups: list[list[bytes]] = [[] for _ in range(n)]
     for own in slices:
-        for k in range(3):
-            np.add.at(sums[k], own.doc, own.head[:, k])
-        doc, a, b = own.links()
-        at = index.find(pair_keys(a, b))
-        if (at < 0).any():
-            raise ValueError("a link was not counted")
-        np.add.at(sums[3], doc, 1)
-        np.add.at(sums[4], doc, counts[at] == best[b])
-        np.add.at(sums[5], doc, counts[at])
+        sums += own.sums(n)
         for k, spelled in own.spelled():
             if k not in digests:
                 digests[k], spelled = hashlib.sha256(), spelled[1:]
@@ -335,7 +358,7 @@ def _aligned(
             if keep_groups:
                 groups[k].append(bytes(spelled))
     hexes = [digests[k].hexdigest() if k in digests else "" for k in range(n)]
-    columns = [*rows.columns[:width], *(pa.array(x) for x in sums), pa.array(hexes, pa.string())]
+    columns = [*rows.columns[:width], *(pa.array(sums[:, k]) for k in (0, 1, 2, 2, 3, 4)), pa.array(hexes, pa.string())]
     names = [*rows.schema.names[:width], *RESULT[:7]]
     if keep_groups:
         columns.append(pa.array([b"".join(g).decode() for g in groups], pa.string()))

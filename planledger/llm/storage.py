@@ -4,17 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from planledger.session import shared_folder
+from planledger.session import new_folder, stored
 
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path of its own for this call, in the shared folder."""
-    return f"{shared_folder(spark)}/planledger/{name}-{uuid.uuid4().hex}"
+__all__ = ["importable", "new_folder", "qualified", "saved"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -37,7 +33,5 @@ def qualified(spark: SparkSession, folder: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: later steps do not compute it again,
-    and no lost executor takes it along."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    and no lost executor takes it along. ``planledger.session.scratch`` deletes it at its end."""
+    return stored(df, name)
