@@ -486,27 +486,32 @@ def _double(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in names})
 
 
+def _report_tables(spark: SparkSession, sf_dir: str, job: str) -> dict[str, DataFrame]:
+    """The tables of a report, its lists reduced as a run from the command line does."""
+    return planledger.reduced_lists(domain_tables(spark, sf_dir, *sources.JOB_TABLES[job]), job)
+
+
 @query
 def daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily"])
+    tables = _report_tables(spark, sf_dir, "daily")
     return _double(planledger.daily_snapshot(tables, AS_OF, RUN_TS))
 
 
 @query
 def monthly_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["monthly"])
+    tables = _report_tables(spark, sf_dir, "monthly")
     return _double(planledger.monthly_close(tables, PERIOD, CLOSE_TS))
 
 
 @query
 def daily_snapshot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily-v2"])
+    tables = _report_tables(spark, sf_dir, "daily-v2")
     return _double(planledger.daily_snapshot_v2(tables, AS_OF))
 
 
 @query
 def daily_snapshot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily"])
+    tables = _report_tables(spark, sf_dir, "daily")
     cfg = replace(DAILY, cycle_source="list", strip_pipes=True)
     report = _double(planledger.daily_snapshot(tables, AS_OF, RUN_TS, cfg))
     # The SQL keeps the pipes, which only the names have.
@@ -515,7 +520,7 @@ def daily_snapshot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_snapshot_v2_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = domain_tables(spark, sf_dir, *sources.JOB_TABLES["daily-v2"])
+    tables = _report_tables(spark, sf_dir, "daily-v2")
     cfg = replace(DAILY_V2, v2_label_bug=True, v2_kind_from_cycle_list=True)
     return _double(planledger.daily_snapshot_v2(tables, AS_OF, cfg))
 

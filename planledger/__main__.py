@@ -16,12 +16,14 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from planledger.contracts import normalise
 from planledger.plans.ingest import ingest_cycle_discounts
-from planledger.plans.snapshots import daily_snapshot, daily_snapshot_v2, monthly_close
-from planledger.session import build_session
+from planledger.plans.snapshots import (
+    daily_snapshot, daily_snapshot_v2, monthly_close, reduced_lists,
+)
+from planledger.session import build_session, scratch
 from planledger.sources.sinks import write_snapshot
 from planledger.sources.tables import JOB_TABLES, read_domain, read_jdbc
 
@@ -94,6 +96,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         spark, args.root, JOB_TABLES[args.job], getattr(args, "period", None), args.plan_list
     )
     now = args.run_ts or datetime.now()
+    with scratch(spark):
+        write_report(args, reduced_lists(tables, args.job), now)
+
+
+def write_report(args: argparse.Namespace, tables: dict[str, DataFrame], now: datetime) -> None:
     if args.job == "daily":
         report = daily_snapshot(tables, args.as_of, now)
     elif args.job == "monthly":

@@ -1,10 +1,15 @@
-"""Join shapes: enrichment, role-playing dimensions, list membership, joins of skewed sides."""
+"""Join shapes: enrichment, role-playing dimensions, list membership, joins of skewed sides,
+reduction of a list to the keys that a report has."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 _SPLIT = "__split"
+#: Bits of a key filter, and bits of one of its words. Its size is bounded by them whatever the
+#: number of keys: at most 2**20 rows of two numbers.
+KEY_BITS = 1 << 26
+_WORD = 64
 
 
 def enrich(base: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
@@ -73,3 +78,31 @@ def split_join(
         .join(right.withColumn(_SPLIT, marker), [*keys, _SPLIT], how)
         .drop(_SPLIT)
     )
+
+
+def key_filter(keys: DataFrame, on: str, bits: int = KEY_BITS) -> DataFrame:
+    """A bitmap of the hashes of ``on``, for ``only_keys``: one row for each 64 bits in which a key lies.
+
+    It holds as many rows as there are words at most, ``bits`` / 64, however many keys there are;
+    with many keys it only excludes fewer others.
+    """
+    place = F.pmod(F.xxhash64(on), F.lit(bits))
+    bit = F.pmod(place, F.lit(_WORD)).cast("int")
+    placed = keys.filter(F.col(on).isNotNull()).select(
+        F.shiftright(place, 6).alias("__word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("__bit")
+    )
+    return placed.groupBy("__word").agg(F.bit_or("__bit").alias("__mask"))
+
+
+def only_keys(df: DataFrame, mask: DataFrame, on: str, bits: int = KEY_BITS) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of ``mask``, made by ``key_filter``.
+
+    All rows with such a key stay, and a few others, which a later join drops. Nothing is shuffled:
+    the mask is broadcast, as its size is bounded by ``bits``. Rows without key go.
+    """
+    place = F.pmod(F.xxhash64(on), F.lit(bits))
+    placed = df.filter(F.col(on).isNotNull()).withColumn("__word", F.shiftright(place, 6))
+    kept = placed.join(F.broadcast(mask), "__word").filter(
+        F.getbit("__mask", F.pmod(place, F.lit(_WORD)).cast("int")) == 1
+    )
+    return kept.select(*df.columns)

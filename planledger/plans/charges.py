@@ -101,8 +101,8 @@ def base_view(tables: dict[str, DataFrame], as_of: date, cfg: C.JobConfig = C.DA
     return _plan_view(tables, assigned, _offered(tables, as_of).distinct(), cfg)
 
 
-def people(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) -> DataFrame:
-    """One row per reportable subscriber with the customer it belongs to."""
+def reportable(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) -> DataFrame:
+    """Subscribers that the report shows, with the customers they belong to."""
     subs = eligible_subscribers(tables["subscribers"], numeric_phone=v2).select(
         SUBSCRIBER, "customer_key", "primary_resource_value", "original_activation_date"
     )
@@ -117,9 +117,13 @@ def people(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) ->
         ),
         segments, "customer_sub_type_key", "inner" if v2 else "left",
     )
-    joined = enrich(subs, customers, "customer_key", "inner")
+    return enrich(subs, customers, "customer_key", "inner")
+
+
+def people(tables: dict[str, DataFrame], cfg: C.JobConfig, v2: bool = False) -> DataFrame:
+    """One row per reportable subscriber with the customer it belongs to."""
     return best_row(
-        joined.select(
+        reportable(tables, cfg, v2).select(
             SUBSCRIBER,
             F.col("rut_id").alias("rut"),
             F.col("customer_legal_name").alias("razon_social"),

@@ -6,6 +6,10 @@ joined. The lists do not depend on each other, so joining the largest entries
 gives the same row as joining everything and ranking afterwards, without the
 rows multiplying. All joins on the subscriber key are therefore one to one and
 share one partitioning.
+
+Few of the subscribers in the lists are reported. ``reduced_lists`` writes a bitmap of the
+reported ones' keys, of a fixed size, which drops the others' rows where the lists are read,
+before anything of them is grouped or shuffled.
 """
 
 from __future__ import annotations
@@ -24,17 +28,18 @@ from planledger.functions.pricing import (
 )
 from planledger.functions.text import clean_name, parse_amount, parse_number
 from planledger.operators.filters import (
-    current_billing_params, dated_billing_params, eligible_accounts, live_offers, live_products,
+    code_in, current_billing_params, dated_billing_params, eligible_accounts, live_offers, live_products,
     parameters, parc_base, products, promo_values,
 )
-from planledger.operators.joins import enrich, split_join
+from planledger.operators.joins import enrich, key_filter, only_keys, split_join
 from planledger.operators.reduce import best_row, billed_month, latest_per
 from planledger.plans.catalog import name_rules, plan_catalog, promo_catalog_v2, word_rules
-from planledger.plans.charges import SUBSCRIBER, best_plans, people
+from planledger.plans.charges import SUBSCRIBER, best_plans, people, reportable
 from planledger.plans.discounts import (
-    discounts_by_kind, discounts_by_pair, discounts_of_latest, promo_lines, promo_slots,
+    PRODUCT, discounts_by_kind, discounts_by_pair, discounts_of_latest, promo_lines, promo_slots,
     promo_slots_v2,
 )
+from planledger.session import stored
 
 SLOTS = range(1, C.PROMO_SLOTS + 1)
 
@@ -56,6 +61,36 @@ def _flag(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(False))
 
 
+#: The lists that a report joins by subscriber; the parcs name it in their own ways.
+_LISTS = {
+    "assigned_product": SUBSCRIBER, "assigned_billing_offer": SUBSCRIBER, "billing_detail": SUBSCRIBER,
+    "parc_kfactor": SUBSCRIBER, "parc_sist": "subcriptor",
+}
+
+
+def reduced_lists(
+    tables: dict[str, DataFrame], job: str, cfg: C.JobConfig | None = None
+) -> dict[str, DataFrame]:
+    """``tables`` with the lists reduced to the subscribers that report ``job`` shows.
+
+    A few others stay, which the report drops, so the report is the same with or without.
+    Runs two jobs: the bitmap of the reported subscribers' keys is written to the shared folder
+    and read by all lists, and so is that of their parametrised products' keys for the parameters.
+    """
+    if job == "monthly":
+        reported = parc_base(tables["parc_coliving"])
+    else:
+        default = C.DAILY if job == "daily" else C.DAILY_V2
+        reported = reportable(tables, cfg or default, v2=job == "daily-v2")
+    mask = stored(key_filter(reported.select(SUBSCRIBER), SUBSCRIBER), "keys")
+    lists = {name: only_keys(tables[name], mask, on) for name, on in _LISTS.items() if name in tables}
+    held = lists["assigned_product"]
+    held = held.filter(code_in(held, "product_key", (C.PLAN_PRODUCT, C.PARAMETER_PRODUCT)))
+    products_mask = stored(key_filter(held.select(PRODUCT), PRODUCT), "keys")
+    values = only_keys(tables["assigned_product_parameter"], products_mask, PRODUCT)
+    return tables | lists | {"assigned_product_parameter": values}
+
+
 def _report(
     wide: DataFrame,
     cfg: C.JobConfig,

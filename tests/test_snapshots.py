@@ -15,7 +15,7 @@ from fixture_domain import AS_OF, product, offer, frame, tables
 from planledger.__main__ import lasting_catalog, parse_args, run, session_settings
 from planledger.contracts import normalise
 from planledger.operators.filters import base_rows
-from planledger.plans.charges import base_view, charges_view
+from planledger.plans.charges import SUBSCRIBER, base_view, charges_view
 from planledger.plans.snapshots import REPORT_COLUMNS
 from planledger.sources.tables import JOB_TABLES
 
@@ -292,6 +292,29 @@ def test_report_plans(spark, domain, conf, job):
     assert plan.count("Exchange hashpartitioning") <= limit
 
 
+@pytest.mark.parametrize("job", REPORTS)
+def test_lists_are_reduced_where_they_are_read(spark, domain, conf, job):
+    """The same report, with the rows of subscribers that it doesn't show gone before any shuffle."""
+    report, args, _ = REPORTS[job]
+    crowd = spark.range(500).select(F.concat(F.lit("x"), "id").alias("other"))
+    lists = {"assigned_product": SUBSCRIBER, "assigned_billing_offer": SUBSCRIBER, "billing_detail": SUBSCRIBER,
+             "parc_kfactor": SUBSCRIBER, "parc_sist": "subcriptor"}
+    crowded = dict(domain)
+    for name, key in lists.items():
+        others = domain[name].limit(1).crossJoin(crowd).withColumn(key, F.col("other")).drop("other")
+        crowded[name] = domain[name].unionByName(others)
+    reduced = P.reduced_lists(crowded, job)
+    for name, key in lists.items():
+        kept = {r[0] for r in reduced[name].select(key).collect()}
+        assert len([k for k in kept if k.startswith("x")]) < 5, name
+    assert values(report(reduced, *args), "SUBSCRIBER_KEY") == values(report(domain, *args), "SUBSCRIBER_KEY")
+    held = reduced["assigned_product"].groupBy(SUBSCRIBER).count()
+    plan = physical_plan(held).split("\n")
+    joined = next(k for k, line in enumerate(plan) if "BroadcastHashJoin" in line)
+    shuffled = next(k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert shuffled < joined  # the exchange is above the join: rows go before they are moved
+
+
 @pytest.mark.parametrize("job", REPORTS)
 def test_reports_by_command_line(spark, domain, tmp_path, job):
     root = str(tmp_path)
