@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from planledger.contracts import TABLES, normalise
 
@@ -78,6 +78,10 @@ SELECT cast(l_orderkey AS string) AS assigned_product_key,
             ELSE 'Other' END AS assigned_product_parameter_id,
        CASE WHEN l_linenumber IN (2, 4)
                 THEN CASE WHEN l_suppkey % 2 = 0 THEN 'Fixed' ELSE 'Percent' END
+            WHEN l_quantity = 50 THEN 'NaN'
+            WHEN l_quantity = 49 THEN 'Infinity'
+            WHEN l_quantity = 48 THEN '1d'
+            WHEN l_quantity = 47 THEN '2e1'
             WHEN l_quantity < 6 THEN '0'
             WHEN l_quantity < 11 THEN '00'
             ELSE cast(cast(l_quantity AS int) AS string) END AS parameter_value,
@@ -119,7 +123,8 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
 FROM {part}""",
     "product_billing_parameters": "\nUNION ALL\n".join([
         _pbp("'Cargo Fijo Datos'", "Rate",
-             "cast(cast(floor(p_retailprice) AS int) * p_size AS string)", "p_type <> 'ECONOMY'"),
+             "CASE WHEN p_partkey % 61 = 5 THEN 'NaN' WHEN p_partkey % 61 = 6 THEN 'Infinity' "
+             "ELSE cast(cast(floor(p_retailprice) AS int) * p_size AS string) END", "p_type <> 'ECONOMY'"),
         _pbp("' Cargo Fijo Voz '", "Rate",
              "cast(cast(floor(p_retailprice) AS int) + p_size AS string)",
              "p_type IN ('PROMO', 'SMALL', 'STANDARD', 'MEDIUM')"),
@@ -128,7 +133,8 @@ FROM {part}""",
         _pbp("'Descuento Multiproducto Voz'", "Discount value",
              "cast(p_size * 25 AS string)", "p_type NOT IN ('LARGE', 'MEDIUM')"),
         _pbp("'Descuento Promocional Datos'", "Discount value",
-             "CASE WHEN p_size % 10 = 0 THEN '0' ELSE cast(p_size * 2 AS string) END",
+             "CASE WHEN p_size % 10 = 0 THEN '0' WHEN p_size % 17 = 3 THEN '1d' "
+             "ELSE cast(p_size * 2 AS string) END",
              "p_type <> 'STANDARD'"),
         _pbp("'Descuento Promocional Datos'", "Discount type", "'Percent'", "p_size > 10"),
     ]),
@@ -182,6 +188,23 @@ SELECT concat('P', cast(p_partkey AS string)) AS product_key,
 FROM {part} WHERE p_type IN ('SMALL', 'MEDIUM')""",
 }
 
+#: Columns that the Spark side reads as numbers, as warehouse tables fed from other databases
+#: carry them; the SQL compares the texts.
+NUMBERS = {
+    "assigned_product": {
+        "product_key": "decimal(38,10)", "assigned_product_key": "decimal(38,0)",
+        "assigned_product_status_key": "double", "assigned_product_state_key": "decimal(38,10)",
+    },
+    "subscribers": {
+        "subscriber_key": "decimal(38,10)", "customer_key": "double",
+        "subscriber_status_key": "decimal(38,0)", "calculated_payment_category_ke": "decimal(6,2)",
+    },
+    "customer": {"customer_key": "decimal(20,4)", "customer_sub_type_key": "double"},
+    "assigned_product_parameter": {"assigned_product_key": "double", "product_parameter_key": "decimal(38,10)"},
+    "assigned_billing_offer": {"subscriber_key": "double", "asgn_blng_ofr_status_key": "decimal(38,10)"},
+    "parc_coliving": {"subscriber_key": "decimal(38,10)"},
+}
+
 VIEW_TABLES = (
     "assigned_product", "customer", "subscribers", "assigned_product_parameter", "product",
     "customer_sub_type", "assigned_billing_offer", "product_catalog",
@@ -204,7 +227,9 @@ def domain_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Da
 
     def table(name: str) -> DataFrame:
         used = {key: df for key, df in raw.items() if "{" + key + "}" in SOURCES[name]}
-        return normalise(spark.sql(SOURCES[name], **used), name)
+        rows = spark.sql(SOURCES[name], **used)
+        numbers = {column: F.trim(column).cast(kind) for column, kind in NUMBERS.get(name, {}).items()}
+        return normalise(rows.withColumns(numbers) if numbers else rows, name)
 
     return {name: table(name) for name in wanted}
 

@@ -229,13 +229,17 @@ FROM part""",
 WITH o AS (SELECT o_orderkey, trim(CASE
     WHEN o_orderkey % 3 = 0 THEN split_part(o_orderpriority, '-', 1)
     WHEN o_orderkey % 3 = 1 THEN split_part(o_orderpriority, '-', 2)
+    WHEN o_custkey % 40 = 2 THEN 'NaN' WHEN o_custkey % 40 = 3 THEN 'Infinity'
+    WHEN o_custkey % 40 = 6 THEN '1d' WHEN o_custkey % 40 = 7 THEN '1e3'
+    WHEN o_custkey % 40 = 10 THEN '-.5' WHEN o_custkey % 40 = 11 THEN '+7.'
     WHEN o_custkey % 4 = 0 THEN '0' WHEN o_custkey % 4 = 1 THEN '00'
-    ELSE o_custkey || '.75' END) AS raw FROM orders)
-SELECT o_orderkey, raw, CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT) AS amount,
-  CASE WHEN raw <> '0' THEN CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT) END AS promo,
-  TRY_CAST(raw AS DOUBLE) AS number,
+    ELSE o_custkey || '.75' END) AS raw FROM orders),
+n AS (SELECT *, CASE WHEN regexp_matches(raw, '^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *$')
+                     THEN TRY_CAST(raw AS DOUBLE) END AS number FROM o)
+SELECT o_orderkey, raw, CAST(trunc(number) AS BIGINT) AS amount,
+  CASE WHEN raw <> '0' THEN CAST(trunc(number) AS BIGINT) END AS promo, number,
   CASE WHEN raw NOT IN ('0', '00') THEN raw END AS unblanked
-FROM o""",
+FROM n""",
     "best_row": """
 SELECT * EXCLUDE (pos) FROM (
   SELECT l_suppkey, l_quantity, l_linenumber, l_tax, l_returnflag, l_linestatus, discount,

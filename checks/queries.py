@@ -412,6 +412,9 @@ def amount_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").withColumn("raw", F.concat(
         F.lit(" "), F.when(F.col("o_orderkey") % 3 == 0, F.split("o_orderpriority", "-")[0])
         .when(F.col("o_orderkey") % 3 == 1, F.split("o_orderpriority", "-")[1])
+        .when(F.col("o_custkey") % 40 == 2, "NaN").when(F.col("o_custkey") % 40 == 3, "Infinity")
+        .when(F.col("o_custkey") % 40 == 6, "1d").when(F.col("o_custkey") % 40 == 7, "1e3")
+        .when(F.col("o_custkey") % 40 == 10, "-.5").when(F.col("o_custkey") % 40 == 11, "+7.")
         .when(F.col("o_custkey") % 4 == 0, "0").when(F.col("o_custkey") % 4 == 1, "00")
         .otherwise(F.concat(_key("o_custkey"), F.lit(".75"))), F.lit(" "),
     ))

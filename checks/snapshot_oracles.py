@@ -45,8 +45,12 @@ FIN = """CASE price_plan_promotion_interval
     WHEN 'D' THEN provision_date + price_plan_promotion_duration END"""
 
 
+#: Plain decimal notation; other spellings that a cast would take are words.
+NUMBER = "'^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *$'"
+
+
 def number(text: str) -> str:
-    return f"TRY_CAST({text} AS DOUBLE)"
+    return f"CASE WHEN regexp_matches({text}, {NUMBER}) THEN TRY_CAST({text} AS DOUBLE) END"
 
 
 def whole(value: str) -> str:
@@ -55,10 +59,11 @@ def whole(value: str) -> str:
 
 def net(service: str, truncate: bool) -> str:
     base = f"(cf_{service} - dsc_cf_{service})"
-    amount = f"coalesce({number(f'adi_{service}')}, 0)"
+    # A word is no amount, and makes a fixed price unknown.
+    amount = f"(CASE WHEN adi_{service} IS NULL THEN 0 ELSE {number(f'adi_{service}')} END)"
     price = (
         f"CASE WHEN coalesce(tipo_{service}, 'Fixed') = 'Fixed' THEN {base} - {amount} "
-        f"WHEN trunc({amount}) <> 0 THEN {base} * (100 - {amount}) / 100 ELSE {base} END"
+        f"WHEN trunc(coalesce({amount}, 0)) <> 0 THEN {base} * (100 - {amount}) / 100 ELSE {base} END"
     )
     return whole(price) if truncate else price
 

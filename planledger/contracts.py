@@ -1,10 +1,12 @@
 """Column contracts of the source tables, and the normalisation done on read.
 
-Keys arrive as ints or padded strings depending on the source, so every key is
-read as a trimmed string; dates are read as dates and money as decimal. All
-columns are nullable. ``KEY`` marks the columns that are joined by and therefore trimmed
-strings. ``CODE`` marks the columns that only code lists are compared with: whole numbers
-stay numbers, so that such a filter reaches the parquet reader, and texts are trimmed.
+Keys arrive as numbers of any type or as padded strings depending on the source, so every
+key is read as a trimmed string, and a number that is whole as its digits: 2053 as an int,
+as decimal(38,10) and as a double are one key. Dates are read as dates and money as
+decimal. All columns are nullable. ``KEY`` marks the columns that are joined by and
+therefore strings. ``CODE`` marks the columns that only code lists are compared with:
+numbers stay what they are, so that such a filter reaches the parquet reader in the
+column's own type, and texts are trimmed.
 """
 
 from __future__ import annotations
@@ -14,8 +16,34 @@ from pyspark.sql import DataFrame, functions as F
 KEY = "key"
 CODE = "code"
 MONEY = "decimal(18,2)"
-#: The types of whole numbers, as ``DataFrame.dtypes`` names them.
+#: The types of numbers, as ``DataFrame.dtypes`` names them.
 WHOLE = ("tinyint", "smallint", "int", "bigint")
+FRACTIONAL = ("float", "double")
+
+
+def is_number(kind: str) -> bool:
+    return kind in WHOLE or kind in FRACTIONAL or kind.startswith("decimal")
+
+
+def digits_before_point(kind: str) -> int | None:
+    """How many digits a decimal type has in front of its point; null for other types."""
+    if not kind.startswith("decimal("):
+        return None
+    precision, scale = kind.removeprefix("decimal(").rstrip(")").split(",")
+    return int(precision) - int(scale)
+
+
+def key_text(name: str, kind: str) -> str:
+    """SQL for a key column as text: trimmed, and the digits alone where a number is whole."""
+    text = f"trim(cast({name} AS string))"
+    if kind.startswith("decimal") and not kind.endswith(",0)"):
+        plain = f"trim(TRAILING '.' FROM trim(TRAILING '0' FROM cast({name} AS string)))"
+        return f"if({name} = 0, '0', {plain})"
+    if kind in FRACTIONAL:
+        # Beyond 2**53 a double no longer tells whole numbers apart; such a key stays as it is written.
+        whole = f"abs({name}) < 9007199254740992 AND {name} = floor({name})"
+        return f"if({whole}, cast(try_cast({name} AS bigint) AS string), {text})"
+    return text
 
 TABLES: dict[str, dict[str, str]] = {
     "assigned_product": {
@@ -89,8 +117,9 @@ def ddl(table: str) -> str:
 
 
 def normalise_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Cast ``keys`` to string and strip the padding spaces."""
-    return df.withColumns({key: F.trim(F.col(key).cast("string")) for key in keys})
+    """Cast ``keys`` to string, without padding and without the zeros behind a whole number."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({key: F.expr(key_text(f"`{key}`", kinds[key])) for key in keys})
 
 
 def normalise(df: DataFrame, table: str) -> DataFrame:
@@ -102,10 +131,10 @@ def normalise(df: DataFrame, table: str) -> DataFrame:
     actual = {name.lower(): kind for name, kind in df.dtypes}
 
     def column(name: str, kind: str) -> str:
-        if kind == CODE and actual[name] in WHOLE:
+        if kind == CODE and is_number(actual[name]):
             return f"{name} AS {name}"
         if kind in (KEY, CODE):
-            return f"trim(cast({name} AS string)) AS {name}"
+            return f"{key_text(name, actual[name])} AS {name}"
         if actual[name] == kind:
             return f"{name} AS {name}"
         return f"try_cast({name} AS {kind}) AS {name}"

@@ -17,9 +17,16 @@ def contains_in_order(col: Column, *parts: str, fold: bool = True) -> Column:
     return subject.like("%" + "%".join(plain(part) for part in parts) + "%")
 
 
+#: Plain decimal notation, blanks around it allowed.
+_NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)\s*$"
+
+
 def parse_number(col: Column) -> Column:
-    """The number a string holds, as double; null for words and blanks."""
-    return col.try_cast("double")
+    """The number a string holds in plain decimal notation, as double; null for words and blanks.
+
+    "NaN", "Infinity", "1d" and "1e3" are words here, though Spark's cast takes them for numbers.
+    """
+    return F.when(col.rlike(_NUMBER), col.try_cast("double"))
 
 
 def parse_amount(col: Column, zero_as_null: bool = False) -> Column:

@@ -11,16 +11,19 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from planledger import config as C
-from planledger.contracts import WHOLE, normalise_keys
+from planledger.contracts import digits_before_point, is_number, normalise_keys
 from planledger.functions.calendar import promo_end
 from planledger.functions.text import contains_in_order
 
 
 def code_in(df: DataFrame, name: str, codes: tuple) -> Column:
     """Whether a code column holds one of ``codes``, compared in the column's own type."""
-    if dict(df.dtypes).get(name) in WHOLE:
-        codes = tuple(int(code) for code in codes)
-    return F.col(name).isin(*codes)
+    kind = dict(df.dtypes).get(name, "string")
+    if not is_number(kind):
+        return F.col(name).isin(*codes)
+    room = digits_before_point(kind)
+    fitting = [int(code) for code in codes if room is None or len(code) <= room]
+    return F.col(name).isin(*[F.lit(code).cast(kind) for code in fitting])
 
 
 def valid_at(
@@ -140,7 +143,7 @@ def live_products(
         condition = condition & (F.col(dml) != "DELETE")
     live = valid_at(ap.filter(condition), start if at_period_end else None, end, as_of)
     # From here on the product is a key to join by.
-    return normalise_keys(live, [product]) if dict(ap.dtypes)[product] in WHOLE else live
+    return normalise_keys(live, [product]) if is_number(dict(ap.dtypes)[product]) else live
 
 
 def live_offers(

@@ -25,6 +25,13 @@ def test_parse_amount(spark):
     assert one(spark, text.blank_zeros(col), "raw string", *raw)[:3] == [None, None, "12.5"]
 
 
+def test_only_plain_decimal_notation_is_a_number(spark):
+    words = ["NaN", "Infinity", "-inf", "1d", "1f", "1e3", "0x1", "1 2", "", " ", ".", "+", "1,5", "٣"]
+    numbers = {"1": 1.0, "-.5": -0.5, "+7.": 7.0, " 12.25 ": 12.25, "007": 7.0}
+    raw = [(t,) for t in [*words, *numbers]]
+    assert one(spark, text.parse_number(F.col("raw")), "raw string", *raw) == [None] * len(words) + list(numbers.values())
+
+
 def test_contains_in_order(spark):
     rows = [("Cargo Fijo DATOS",), ("datos cargo",), (None,), ("10% x",), ("10 x",), ("a_b",)]
     col = F.col("t")

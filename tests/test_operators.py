@@ -1,6 +1,7 @@
 """Filters, joins and reductions on small frames."""
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,22 @@ def test_key_trim_makes_keys_match(spark):
     assert values(left.join(right, "k")) == [("7",)]
 
 
+@pytest.mark.parametrize(("kind", "texts"), [
+    ("decimal(38,10)", {"2053": "2053", "0": "0", "100": "100", "-7": "-7", "12.50": "12.5"}),
+    ("decimal(38,0)", {"2053": "2053", "0": "0", "12345678901234567890": "12345678901234567890"}),
+    ("double", {"1351": "1351", "0": "0", "100000000000": "100000000000", "-3": "-3", "1.5": "1.5", "NaN": "NaN"}),
+    ("float", {"1351": "1351"}),
+])
+def test_whole_numbers_are_keys_by_their_digits(spark, kind, texts):
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "raw string").selectExpr("raw", f"cast(raw AS {kind}) AS k")
+    assert {r["raw"]: r["k"] for r in normalise_keys(rows, ["k"]).collect()} == {**texts, None: None}
+
+
+def test_codes_that_a_type_cannot_hold_match_nothing(spark):
+    rows = spark.createDataFrame([("1351",), ("7",), (None,)], "raw string").selectExpr("cast(raw AS decimal(6,2)) AS k")
+    assert values(rows.filter(filters.code_in(rows, "k", ("1351", "2448119")))) == [(Decimal("1351.00"),)]
+
+
 def test_normalise_follows_the_contract(spark):
     raw = spark.createDataFrame(
         [(7, " 9", "2024-01-02")],

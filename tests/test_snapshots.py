@@ -13,11 +13,11 @@ from checks.domain import CLOSE_TS, PERIOD, RUN_TS, domain_tables
 from checks.domain import AS_OF as DRIVER_DAY
 from fixture_domain import AS_OF, product, offer, frame, tables
 from planledger.__main__ import lasting_catalog, parse_args, run, session_settings
-from planledger.contracts import normalise
-from planledger.operators.filters import base_rows
+from planledger.contracts import TABLES, normalise
+from planledger.operators.filters import base_rows, live_products
 from planledger.plans.charges import SUBSCRIBER, base_view, charges_view
 from planledger.plans.snapshots import REPORT_COLUMNS
-from planledger.sources.tables import JOB_TABLES
+from planledger.sources.tables import JOB_TABLES, read_table
 
 RUN = datetime(2024, 1, 15, 6, 0, 0)
 CLOSE = datetime(2024, 2, 3, 6, 0, 0)
@@ -292,6 +292,35 @@ def test_report_plans(spark, domain, conf, job):
     assert plan.count("Exchange hashpartitioning") <= limit
 
 
+#: Columns of the fixture whose keys and codes are all numbers.
+NUMERIC = {
+    "assigned_product": ("product_key", SUBSCRIBER, "assigned_product_status_key", "assigned_product_state_key"),
+    "assigned_billing_offer": (SUBSCRIBER, "parent_product_key", "asgn_blng_ofr_state_key", "asgn_blng_ofr_status_key"),
+    "assigned_product_parameter": ("product_parameter_key",),
+    "subscribers": (SUBSCRIBER, "subscriber_status_key", "calculated_payment_category_ke"),
+    "customer": ("customer_sub_type_key", "billing_cycle_key"), "customer_sub_type": ("customer_sub_type_key",),
+    "billing_detail": (SUBSCRIBER,), "parc_kfactor": (SUBSCRIBER,), "parc_sist": ("subcriptor",),
+    "parc_coliving": (SUBSCRIBER, "billing_cycle_key"),
+}
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(38,0)", "decimal(38,10)", "double"])
+def test_keys_and_codes_of_any_number_type_give_the_same_reports(spark, domain, tmp_path, kind):
+    typed = dict(domain)
+    for name, columns in NUMERIC.items():
+        rows = domain[name].withColumns({c: F.col(c).cast(kind) for c in columns})
+        rows.write.parquet(f"{tmp_path}/{name}")
+        typed[name] = read_table(spark, str(tmp_path), name)
+        assert all(dict(typed[name].dtypes)[c] == (kind if TABLES[name][c] == "code" else "string") for c in columns)
+    jobs = [("daily", (AS_OF, RUN)), ("monthly", ("202401", CLOSE)), ("daily-v2", (AS_OF,))]
+    for job, args in jobs if kind == "decimal(38,10)" else jobs[:1]:
+        report = REPORTS[job][0]
+        got = values(report(P.reduced_lists(typed, job), *args), "SUBSCRIBER_KEY")
+        assert got == values(report(domain, *args), "SUBSCRIBER_KEY"), job
+    plan = physical_plan(live_products(typed["assigned_product"], ("2053", "2448119"), AS_OF))
+    assert "In(product_key, [2053" in plan[plan.index("PushedFilters"):]
+
+
 @pytest.mark.parametrize("job", REPORTS)
 def test_lists_are_reduced_where_they_are_read(spark, domain, conf, job):
     """The same report, with the rows of subscribers that it doesn't show gone before any shuffle."""
