@@ -5,17 +5,15 @@ become ``<*>``; the token count and the first ``depth`` tokens give its leaf. In
 leaf, a token that fewer than ``min_docs`` documents have at its place is a
 variable field and generalises to ``<*>`` as well, so long as at least
 ``similarity`` of the line stays constant; otherwise the line is its own template.
-With ``share``, a token must also be as common as its line: the documents it has at
-its place are at least that share of those of the line's usual token, the one down to
-which ``similarity`` of the line is more common. For lines of one template that is about
-the template's own number of documents, however many other templates share the leaf, so
-that the values of a field stay variable when the corpus grows and each of them reaches
-``min_docs``. Lines with one template without ``share`` have one with it: it only joins
-templates, and what recurs without it does so with it.
+A token must also be as common as its line: the documents it has at its place are at
+least ``share`` of those of the line's usual token, the one down to which ``similarity``
+of the line is more common. For lines of one template that is about the template's own
+number of documents, however many other templates share the leaf, so that the values of a
+field stay variable when the corpus grows and each of them reaches ``min_docs``.
 A template that occurs in at least ``min_docs`` documents recurs: its lines stay
-in the document with the smallest key and are dropped from all others. With
-``long_tokens``, a line of that many tokens recurs by itself from two documents on, if
-it is the same in them after masking.
+in the document with the smallest key and are dropped from all others. A line of
+``long_tokens`` tokens or more recurs by itself from two documents on, if it is the
+same in them after masking.
 
 Leaves, lines and templates are counted with partial aggregates, each line once
 per document. Lines that differ only in masked tokens are one row from then on.
@@ -69,15 +67,13 @@ def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "
     return split_join(left, right.hint("merge"), on, how)
 
 
-def counted_lines(docs: DataFrame, key: str, text: str, min_tokens: int, depth: int, long_tokens: int | None) -> tuple[DataFrame, DataFrame]:
-    """All lines as (doc, text_hash, pos, leaf, line), and how many documents have each (w).
-    With ``long_tokens`` also whether a line is long, and the first document that has it."""
-    lines = masked_lines(docs, key, text, min_tokens, depth)
-    if long_tokens is not None:
-        lines = lines.withColumn("long", F.col("n") >= long_tokens)
+def counted_lines(docs: DataFrame, key: str, text: str, min_tokens: int, depth: int, long_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """All lines as (doc, text_hash, pos, leaf, line, long), and for each how many documents
+    have it (w) and the first of them."""
+    lines = masked_lines(docs, key, text, min_tokens, depth).withColumn("long", F.col("n") >= long_tokens)
     index = saved(lines.drop("masked", "n"), "lines")
-    marks = [] if long_tokens is None else [F.min("doc").alias("first"), F.max("long").alias("long")]
-    once = index.groupBy("leaf", "line", "doc").agg(F.count("*").alias("__c"), *marks[1:]).drop("__c")
+    once = index.groupBy("leaf", "line", "doc").agg(F.max("long").alias("long"))
+    marks = [F.min("doc").alias("first"), F.max("long").alias("long")]
     return index, saved(once.groupBy("leaf", "line").agg(F.count("*").alias("w"), *marks), "counts")
 
 
@@ -111,14 +107,7 @@ def template_lines(
     tokens = saved(tokens, "tokens")
     fixed = tokens.groupBy("leaf", "token").agg(F.sum("w").alias("docs")).filter(F.col("docs") >= min_docs)
     constant = _joined(tokens, fixed, ["leaf", "token"]).groupBy("leaf", "line")
-    if share:
-        general = _common(constant, similarity, share)
-    else:
-        general = (
-            constant.agg(F.bit_xor("token").alias("x"), F.count("*").alias("kept"), F.max("n").alias("n"))
-            .filter(F.col("kept") >= similarity * F.col("n"))
-            .select("leaf", "line", F.xxhash64("leaf", "x", "kept").alias("template"))
-        )
+    general = _common(constant, similarity, share)
     found = _joined(index.select("doc", "text_hash", "pos", "leaf", "line"), leaves.select("leaf"), "leaf")
     return _joined(found, general, ["leaf", "line"], "left").select(
         "doc", "text_hash", "pos", F.coalesce("template", F.xxhash64("leaf", "line")).alias("template")
@@ -133,8 +122,8 @@ def dedup_lines(
     min_tokens: int = 3,
     depth: int = 3,
     similarity: float = 0.7,
-    share: float = 0.0,
-    long_tokens: int | None = None,
+    share: float = 0.5,
+    long_tokens: int = 20,
 ) -> DataFrame:
     """Drop recurring lines from ``text``; adds n_lines and n_dropped."""
     own = docs.drop("n_lines", "n_dropped")
@@ -146,11 +135,10 @@ def dedup_lines(
         .filter(F.col("docs") >= min_docs).select("template", "first")
     )
     dropped = _joined(lines, recurring, "template").filter("doc <> first").select("doc", "text_hash", "pos")
-    if long_tokens is not None:
-        # The first document of a template is also the first of each of its lines.
-        repeated = counts.filter("long and w > 1").select("leaf", "line", "first")
-        twice = _joined(index.filter("long"), repeated, ["leaf", "line"]).filter("doc <> first")
-        dropped = dropped.unionByName(twice.select("doc", "text_hash", "pos"))
+    # The first document of a template is also the first of each of its lines.
+    repeated = counts.filter("long and w > 1").select("leaf", "line", "first")
+    twice = _joined(index.filter("long"), repeated, ["leaf", "line"]).filter("doc <> first")
+    dropped = dropped.unionByName(twice.select("doc", "text_hash", "pos"))
     gone = dropped.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
     gone = gone.select(F.col("doc").alias(key), F.col("text_hash").alias("__hash"), "__gone")
     joined = own.withColumn("__hash", F.xxhash64(text)).join(gone.hint("merge"), [key, "__hash"], "left")
@@ -182,16 +170,21 @@ counts AS (SELECT leaf, line, any_value(tokens) AS tokens, any_value(n) AS n, co
 leaves AS (SELECT leaf, count(*) AS m FROM counts GROUP BY leaf HAVING sum(w) >= 3),
 tokens AS (SELECT leaf, line, n, w, unnest(tokens) AS token, unnest(range(n)) AS place
            FROM counts JOIN leaves USING (leaf) WHERE m > 1),
-fixed AS (SELECT leaf, place, token FROM tokens GROUP BY ALL HAVING sum(w) >= 3),
+fixed AS (SELECT leaf, place, token, sum(w) AS docs FROM tokens GROUP BY ALL HAVING sum(w) >= 3),
+usual AS (SELECT leaf, line, list(docs ORDER BY docs DESC)[greatest(ceil(0.7::DOUBLE * n), 1)::INT] AS usual
+          FROM tokens JOIN fixed USING (leaf, place, token)
+          GROUP BY leaf, line, n HAVING count(*) >= 0.7::DOUBLE * n),
 general AS (SELECT leaf, line, list((place, token) ORDER BY place) AS shape
-            FROM tokens JOIN fixed USING (leaf, place, token)
-            GROUP BY leaf, line, n HAVING count(*) >= 0.7 * n),
+            FROM tokens JOIN fixed USING (leaf, place, token) JOIN usual USING (leaf, line)
+            WHERE docs >= 0.5 * usual GROUP BY leaf, line),
 placed AS (SELECT l.doc_id, l.text, l.pos, l.leaf, g.shape, CASE WHEN g.shape IS NULL THEN l.line END AS own
            FROM lines l JOIN leaves USING (leaf) LEFT JOIN general g ON g.leaf = l.leaf AND g.line = l.line),
 recurring AS (SELECT leaf, shape, own, min(doc_id) AS first FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
-gone AS (SELECT DISTINCT p.doc_id, p.text, p.pos FROM placed p JOIN recurring r
+repeated AS (SELECT leaf, line, min(doc_id) AS first FROM lines WHERE n >= 20 GROUP BY leaf, line HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT p.doc_id, p.text, p.pos FROM placed p JOIN recurring r
          ON p.leaf = r.leaf AND p.shape IS NOT DISTINCT FROM r.shape AND p.own IS NOT DISTINCT FROM r.own
-         WHERE p.doc_id <> r.first),
+         WHERE p.doc_id <> r.first
+         UNION SELECT l.doc_id, l.text, l.pos FROM lines l JOIN repeated r USING (leaf, line) WHERE l.doc_id <> r.first),
 kept AS (SELECT c.doc_id, c.text, string_agg(c.raw, chr(10) ORDER BY c.pos) FILTER (WHERE g.pos IS NULL) AS rest, count(g.pos) AS n_dropped
          FROM (SELECT DISTINCT * FROM cut) c LEFT JOIN gone g USING (doc_id, text, pos) GROUP BY c.doc_id, c.text)
 SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,

@@ -8,13 +8,19 @@ candidates, and candidates are confirmed on their full shingle sets. With the
 default 28 bands a pair at similarity 0.85 is missed with probability 1e-9, one
 at 0.8 with 4e-7.
 
-No step makes all pairs of a group. Documents with equal sets are one class.
-Each band bucket is first compared with its smallest member only; the links found
-give components, and a bucket that lies in one component is done. In the others,
-members of different components are compared: all of them in small buckets. In
-large ones a pair that is similar enough shares a shingle that few members have
-(found by joining on those), or is so close in size, after its rare shingles are
-set aside, that a join on size classes finds it.
+Documents with equal sets are one class. Each band bucket is first compared with its
+smallest member only; the links found give components, and a bucket that lies in one
+component is done. In the others, members of different components may still be similar.
+Small ones are compared pair by pair. The documents of larger ones are banded anew, by
+so many values that a band lets few pairs through that are not similar enough, and in so
+many bands that one in a million pairs at the threshold is missed (at 0.85, 44 bands of
+eight values). These buckets are again compared with their smallest member first, and
+pair by pair where several components are left. Pairs whose signatures agree too rarely
+go before full sets are fetched.
+
+So families of documents that share much but are not similar, such as pages of one
+template, meet rarely: two at similarity 0.33 with probability 0.006, at 0.5 with 0.16.
+A family close below the threshold stays dear: at 0.75 most of its pairs are compared.
 
 Null and empty texts and texts without words have the empty set and link with
 nothing. Rows without key link with nothing and stay: their component is null.
@@ -26,6 +32,7 @@ with ``text_hash`` each row's hash of its text is, which tells such rows apart.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +44,40 @@ from planledger.llm.textbytes import LOWER, mix, span_hashes, text_blocks, word_
 from planledger.operators.joins import split_join
 
 BANDS = 28
-#: Buckets up to this size are compared pair by pair, larger ones by shared rare shingles and size.
-SMALL_BUCKET = 16
-#: A shingle that at most this many members of large buckets have is rare.
-RARE = 8
+#: Buckets up to this size are compared pair by pair, the documents of larger ones are banded anew.
+SMALL_BUCKET = 4
+#: What part of the pairs at the threshold the steep bands may miss, and the signature check may drop.
+MISSED, DROPPED = 1e-6, 1e-8
+#: Steep bands at most, and permutations whose values make a signature.
+MOST_BANDS, SIGNATURE = 128, 32
 
 _rng = np.random.Generator(np.random.PCG64(715))
 _PLACES = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _FACTORS = _rng.integers(0, 1 << 32, 2 * BANDS, dtype=np.uint32) | np.uint32(1)
 _SHIFTS = _rng.integers(0, 1 << 32, 2 * BANDS, dtype=np.uint32)
+_STEEP_FACTORS = _rng.integers(0, 1 << 32, 4 * MOST_BANDS + SIGNATURE, dtype=np.uint32) | np.uint32(1)
+_STEEP_SHIFTS = _rng.integers(0, 1 << 32, 4 * MOST_BANDS + SIGNATURE, dtype=np.uint32)
+
+
+def steep_shape(percent: int) -> tuple[int, int]:
+    """(bands, permutations of each) of the steep bands: up to eight values a band."""
+    s = percent / 100
+    for permutations in (4, 3, 2, 1):
+        let = s ** (2 * permutations)
+        bands = 1 if let >= 1 else ceil(log(MISSED) / log1p(-let))
+        if bands <= MOST_BANDS:
+            break
+    return min(bands, MOST_BANDS), permutations
+
+
+def least_agreement(percent: int) -> int:
+    """How many of a signature's values two sets at the threshold agree in, but for a share of DROPPED."""
+    values, s, tail = 2 * SIGNATURE, percent / 100, 0.0
+    for least in range(values + 1):
+        tail += comb(values, least) * s**least * (1 - s) ** (values - least)
+        if tail > DROPPED:
+            break
+    return least
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -79,21 +111,47 @@ def set_hashes(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     """The band keys of non-empty sets, one row each; the band's number is hashed in."""
-    sizes = np.array([len(s) for s in sets])
-    at = np.cumsum(sizes) - sizes
-    # The low half: the high half orders the sets.
-    short = np.concatenate(sets).astype(np.uint32)
+    short, at = _short(sets)
     keys = np.empty((len(sets), BANDS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(sets), band + 1, np.uint64)
         for p in (2 * band, 2 * band + 1):
-            ranks = short * _FACTORS[p] + _SHIFTS[p]
-            low, high = np.minimum.reduceat(ranks, at), np.maximum.reduceat(ranks, at)
-            key = mix(key ^ (low.astype(np.uint64) << np.uint64(32) | high))
+            key = mix(key ^ _extremes(short, at, _FACTORS[p], _SHIFTS[p]))
+        keys[:, band] = key
+    return keys.view(np.int64)
+
+
+def _short(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The low halves of the sets' hashes, as the high halves order the sets, and where each set begins."""
+    sizes = np.array([len(s) for s in sets])
+    return np.concatenate(sets).astype(np.uint32), np.cumsum(sizes) - sizes
+
+
+def _extremes(short: np.ndarray, at: np.ndarray, factor: np.uint32, shift: np.uint32) -> np.ndarray:
+    """The smallest and the largest value of each set under a permutation, in one number."""
+    ranks = short * factor + shift
+    low, high = np.minimum.reduceat(ranks, at), np.maximum.reduceat(ranks, at)
+    return low.astype(np.uint64) << np.uint64(32) | high
+
+
+def steep_keys(sets: list[np.ndarray], bands: int, permutations: int) -> np.ndarray:
+    """The steep bands' keys of non-empty sets, one row each."""
+    short, at = _short(sets)
+    keys = np.empty((len(sets), bands), np.uint64)
+    for band in range(bands):
+        key = np.full(len(sets), BANDS + band + 1, np.uint64)
+        for p in range(SIGNATURE + band * permutations, SIGNATURE + (band + 1) * permutations):
+            key = mix(key ^ _extremes(short, at, _STEEP_FACTORS[p], _STEEP_SHIFTS[p]))
         keys[:, band] = key
     return keys.view(np.int64)
 
 
+def set_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """Two values of 32 bits for each of SIGNATURE permutations, a row for each non-empty set."""
+    short, at = _short(sets)
+    return np.column_stack([_extremes(short, at, _STEEP_FACTORS[p], _STEEP_SHIFTS[p]) for p in range(SIGNATURE)])
+
+
 def signatures(docs: DataFrame, key: str, text: str, n: int, text_hash: bool = False) -> DataFrame:
     """(doc, n_shingles, set_a, set_b, keys): set hashes and band keys of every row;
     with ``text_hash`` also that."""
@@ -172,58 +230,79 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return saved(split_join(found, mixed, "key", "inner"), "open")
 
 
-def _small_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components within small buckets; each centre has been compared before."""
-    own = members.filter((F.col("size") <= SMALL_BUCKET) & (F.col("rep") != F.col("centre")))
-    left = own.select("key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    right = own.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-    return left.join(right, "key").filter("a < b and la <> lb")
-
-
-def _large_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that large buckets can hold.
-
-    Let k be how many of a document's n shingles are not rare. Two documents that share
-    no rare shingle have at most min(k) in common. So either they share one, or the one
-    with the smaller k finds the other's n between k and k * (1 + 100 / percent) - n.
-    """
-    own = members.filter(F.col("size") > SMALL_BUCKET)
-    docs = own.select("rep", "label").distinct()
-    tokens = docs.join(sets.withColumnRenamed("doc", "rep"), "rep").select("rep", "label", F.explode("shingles").alias("s"))
-    spread = tokens.groupBy("s").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"))
-    rare = spread.filter(F.col("df") <= RARE).select("s", (F.col("low") != F.col("high")).alias("mixed"))
-    held = saved(split_join(tokens, rare, "s", "inner"), "rare")
-    shared = held.filter("mixed")
-    left = shared.select("s", F.col("rep").alias("a"), F.col("label").alias("la"))
-    right = shared.select("s", F.col("rep").alias("b"), F.col("label").alias("lb"))
-    by_token = left.join(right, "s").filter("a < b and la <> lb").select("a", "b")
-
-    few = held.groupBy("rep").agg(F.count("*").alias("r"))
-    # A pair is taken in the first bucket that both are in; a document has BANDS keys at most.
-    keys = own.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    ratio = 1 + 100 / percent
-    sized = (
-        own.select("key", "rep", "label", "n").join(few, "rep", "left").join(keys, "rep")
-        .withColumn("k", F.col("n") - F.coalesce("r", F.lit(0)))
-        .withColumn("most", F.floor(F.col("k") * ratio) - F.col("n"))
-        .filter("k > 0")
-    )
-    # Size classes a twentieth wide, so that a range covers few of them.
-    step = float(np.log(1.05))
-    size_class = lambda c: F.floor(F.log(F.col(c).cast("double")) / step).cast("int")
-    seeks = sized.filter("most >= k").select(
-        "key", F.col("rep").alias("a"), F.col("label").alias("la"), "k", "most", F.col("keys").alias("ka"),
-        F.explode(F.sequence(size_class("k"), size_class("most"))).alias("class"),
-    )
-    # What a bucket offers per size class; a class in the seeker's own component only needs no look.
-    offers = sized.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("keys").alias("kbs"), size_class("n").alias("class"))
-    kinds = offers.groupBy("key", "class").agg(F.min("lb").alias("low"), F.max("lb").alias("high"), F.min("nb").alias("n0"), F.max("nb").alias("n1"))
-    seeks = split_join(seeks, kinds, ["key", "class"], "inner").filter("not (low = high and low = la) and n0 <= most and n1 >= k").select("key", "class", "a", "la", "k", "most", "ka")
-    close = "la <> lb and nb between k and most and k <= kb and key = array_intersect(ka, kbs)[0]"
-    by_size = split_join(seeks, offers, ["key", "class"], "inner").filter(close).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+def _pairs_within(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components within buckets: (key, rep, label, n)."""
+    left = members.select("key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
+    right = members.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
+    close = f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    return left.join(right, "key").filter(close).select("a", "b")
+
+
+def steep_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, keys, signature) of the documents in open buckets, by the steep bands."""
+    bands, permutations = steep_shape(percent)
+
+    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            flat, offsets = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+            for low in range(0, batch.num_rows, 256):
+                high = min(low + 256, batch.num_rows)
+                own = [flat[a:b] for a, b in zip(offsets[low:high], offsets[low + 1 : high + 1], strict=True)]
+                keys, signs = steep_keys(own, bands, permutations).ravel(), set_signatures(own)
+                stops = np.arange(high - low + 1, dtype=np.int32) * bands
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low),
+                        pa.ListArray.from_arrays(pa.array(stops), pa.array(keys)), pa.array([x.tobytes() for x in signs]),
+                    ],
+                    names=["rep", "n", "keys", "signature"],
+                )
+
+    docs = members.select("rep", "n").distinct()
+    own = docs.join(sets.withColumnRenamed("doc", "rep"), "rep").select("rep", "n", "shingles")
+    return own.mapInArrow(band, "rep long, n long, keys array<long>, signature binary")
+
+
+def alike(pairs: DataFrame, steep: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) whose signatures agree as often as similar ones do."""
+    least = least_agreement(percent)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, 2 * SIGNATURE) for k in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= least))
+
+    left = steep.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
+    right = steep.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
+    both = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    return both.mapInArrow(keep, "a long, b long")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, n, label, centre) of steep buckets that lie in more than one component."""
+    own = split_join(members.withColumn("node", F.col("rep")), labels, "node", "left").select(
+        "key", "rep", "n", F.coalesce("label", "rep").alias("label")
     )
-    return by_token.unionByName(by_size)
+    own = saved(own, "members")
+    mixed = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("centre"))
+    return saved(split_join(own, mixed.filter("low <> high").select("key", "centre"), "key", "inner"), "open")
+
+
+def _steep_links(members: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among the documents of open buckets."""
+    steep = saved(steep_members(members, sets, percent), "steep")
+    small = members.filter((F.col("size") <= SMALL_BUCKET) & (F.col("rep") != F.col("centre")))
+    banded = steep.select(F.explode("keys").alias("key"), "rep", "n")
+    still = _labelled(banded, labels)
+    star = still.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+    near = saved(alike(_pairs_within(small, percent).unionByName(star), steep, percent), "pairs")
+    found = saved(confirmed(near, sets, percent), "links")
+    if found.limit(1).count():
+        labels = connected_components(links.unionByName(found))
+        still = _labelled(still.select("key", "rep", "n"), labels)
+    near = saved(alike(_pairs_within(still, percent), steep, percent), "pairs")
+    return found.unionByName(saved(confirmed(near, sets, percent), "links"))
 
 
 def near_duplicates(
@@ -252,10 +331,7 @@ def near_duplicates(
     links = saved(confirmed(star, sets, percent), "links")
     labels = connected_components(links)
 
-    still = _open_members(members, labels)
-    more = _small_pairs(still).filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
-    more = saved(more.unionByName(_large_pairs(still, sets, percent)).distinct(), "pairs")
-    found = saved(confirmed(more, sets, percent), "links")
+    found = _steep_links(_open_members(members, labels), sets, links, labels, percent)
     if found.limit(1).count():
         labels = connected_components(links.unionByName(found))
 

@@ -196,6 +196,25 @@ def test_line_dedup_drops_recurring_templates(spark):
     assert [r["text"] for r in strict] == [t for _, t in rows]
 
 
+@pytest.mark.parametrize("n", [200, 5000])
+def test_line_dedup_drops_a_template_with_word_fields_at_any_size(spark, n):
+    """By the query's own defaults, and by its SQL: all but the first of a line form with two fields of 500 words."""
+    import duckdb
+
+    rng = random.Random(n)
+    spelled = lambda k: "q" + "".join("abcdefghij"[int(c)] for c in str(k))
+    rows = [(k, f"this page was kept by {spelled(rng.randrange(500))} who lives near {spelled(rng.randrange(500))} since last winter") for k in range(n)]
+    rows += [(n + k, f"{' '.join(spelled(j) for j in range(20 + k // 2))}\nown {spelled(k)} body") for k in range(4)]
+    out = rows_by(line_templates.dedup_lines(frame(spark, rows)))
+    assert sum(r["n_dropped"] for r in out[:n]) == n - 1
+    assert [r["n_dropped"] for r in out[n:]] == [0, 1, 0, 1]  # long lines go from two documents on
+    con = duckdb.connect()
+    documents = pa.table({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})  # noqa: F841
+    con.execute("CREATE TABLE documents AS SELECT * FROM documents")
+    same = con.execute(line_templates.LINE_DEDUP_SQL).fetchall()
+    assert sorted((k, d) for k, _, d, _ in same) == [(r["doc_id"], r["n_dropped"]) for r in out]
+
+
 def test_line_dedup_edges(spark):
     docs = frame(spark, EDGES + [(7, LONG), (8, LONG), (9, "a b c d\n\na b c d"), (10, "a b c d"), (11, "x\na b c d\n")])
     docs = docs.withColumns({"n_lines": F.lit("clash"), "leaf": F.lit(1), "line": F.lit("extra")})
@@ -256,13 +275,62 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, n, percent):
     rng = random.Random(1)
     rows += [(1000 + k, rows[k][1].upper()) for k in range(30)] + [(2000 + k, " ".join(rng.choice("xyz") for _ in range(k % 5))) for k in range(30)]
     want = brute_components(rows, n, percent)
-    for small in (minmax.SMALL_BUCKET, 2):  # also all through the way of large buckets
+    for small in (minmax.SMALL_BUCKET, 0):  # also all through the steep bands
         monkeypatch.setattr(minmax, "SMALL_BUCKET", small)
         got = rows_by(minmax.near_duplicates(frame(spark, rows), n=n, percent=percent), "doc")
         assert {r["doc"]: (r["n_shingles"], r["component"]) for r in got} == want
         assert all(r["kept"] == (r["doc"] == r["component"]) for r in got)
 
 
+def templated(n, sections=20, variants=3):
+    """Documents of sections in a few variants each: all share much, but only every twentieth is
+    similar enough to another one, from which it differs in a section."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(6))
+    parts = [[" ".join(word() for _ in range(12)) for _ in range(variants)] for _ in range(sections)]
+    own = []
+    for k in range(n):
+        own.append([rng.choice(p) for p in parts])
+        if k % 20 == 19:
+            own[k] = list(own[k - rng.randint(1, 19)])
+            own[k][rng.randrange(sections)] = " ".join(word() for _ in range(12))
+    return [(k, " ".join(o)) for k, o in enumerate(own)]
+
+
+def test_families_of_templates_do_not_meet_in_all_pairs(spark, monkeypatch):
+    """Of 1,600 documents far fewer than a twentieth of the 436,000 pairs that share a band; all links found."""
+    plain, met = minmax._pairs_within, {}
+    for n in (400, 1600):
+        seen = []
+        monkeypatch.setattr(minmax, "_pairs_within", lambda *a, seen=seen: (seen.append(pairs := plain(*a).distinct()), pairs)[1])
+        rows = templated(n)
+        got = rows_by(minmax.near_duplicates(frame(spark, rows), n=3, percent=85), "doc")
+        met[n] = sum(p.count() for p in seen)
+        if n == 400:
+            assert {r["doc"]: (r["n_shingles"], r["component"]) for r in got} == brute_components(rows, 3, 85)
+        assert sum(not r["kept"] for r in got) >= n // 20
+    print(met)
+    assert met[1600] <= 436_000 / 20 and met[1600] <= 16 * met[400] + 1000, met
+
+
+def test_steep_bands_and_signatures_miss_next_to_nothing():
+    assert minmax.steep_shape(85) == (44, 4) and minmax.steep_shape(80) == (76, 4)
+    assert minmax.steep_shape(50)[1] == 1 and minmax.steep_shape(100) == (1, 4)
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 1 << 62, 400, dtype=np.uint64)
+    for percent in (85, 80):
+        bands, permutations = minmax.steep_shape(percent)
+        other = round(400 * 2 * percent / (100 + percent))  # elements in common at this similarity
+        agree = missed = 0
+        for _ in range(150):
+            two = [np.sort(x) for x in (base, np.concatenate([base[:other], rng.integers(0, 1 << 62, 400 - other, dtype=np.uint64)]))]
+            keys, signs = minmax.steep_keys(two, bands, permutations), minmax.set_signatures(two).view(np.uint32)
+            missed += not (keys[0] == keys[1]).any()
+            agree += (signs[0] == signs[1]).sum() >= minmax.least_agreement(percent)
+            base = rng.permutation(base)
+        assert missed == 0 and agree == 150
+
+
 def test_near_duplicate_edges(spark):
     docs = frame(spark, EDGES + [(7, LONG)]).withColumn("key", F.lit(1)).withColumn("component", F.lit("x"))
     got = rows_by(minmax.near_duplicates(docs), "doc")
