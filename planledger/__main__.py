@@ -4,21 +4,25 @@
     python -m planledger daily-v2 --root R --out O
     python -m planledger monthly 202401 --root R --out O [--run-ts 2024-02-03T06:00:00]
     python -m planledger ingest --url jdbc:... --offers S.OFFERS --product S.PRODUCT --out O
-        [--partition-column ID --lower 1 --upper 9000000 --partitions 64]
+        [--partition-column ID --partitions 64 [--lower 1 --upper 9000000]]
+        [--product-partition-column ID]
 
 ``--table`` registers in the Hive catalog, so that the table is there after the run.
 ``--run-ts`` repeats a run: it stamps the rows and, in a close, stands in for open ends.
-The bounds place the splits of the offers table; without them it is read by one task.
+A partition column lets a table be read in parallel; the database is asked for its bounds
+where they aren't given. Without one the table is read by one task. ``--count-losses``
+prints how many values the casts of a report lost and how many keys are null.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from planledger.contracts import normalise
+from planledger.contracts import CastLosses, normalise, normalise_keys
 from planledger.plans.ingest import ingest_cycle_discounts
 from planledger.plans.snapshots import (
     daily_snapshot, daily_snapshot_v2, monthly_close, reduced_lists,
@@ -44,6 +48,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     report.add_argument("--root", required=True, help="folder holding the source tables")
     report.add_argument("--plan-list", help="CSV file of the pay-per-use plans")
     report.add_argument("--table", help="external table to register over the folder")
+    report.add_argument("--count-losses", action="store_true", help="print what casts lost, as JSON")
     report.add_argument("--run-ts", type=datetime.fromisoformat, help="the run's time (default: now)")
     daily = argparse.ArgumentParser(add_help=False, parents=[report])
     daily.add_argument("--as-of", type=date.fromisoformat, default=date.today())
@@ -61,12 +66,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("--lower")
     ingest.add_argument("--upper")
     ingest.add_argument("--partitions", type=int)
+    ingest.add_argument("--product-partition-column", help="the same of the product table; bounds are asked for")
     args = parser.parse_args(argv)
     if args.job == "ingest":
-        given = [args.partition_column, args.lower, args.upper, args.partitions]
-        if any(x is not None for x in given) and None in given:
-            parser.error("--partition-column, --lower, --upper and --partitions go together")
-        args.bounds = tuple(given) if args.partition_column else None
+        if (args.lower is None) != (args.upper is None) or args.lower and not args.partition_column:
+            parser.error("--lower and --upper go together, with --partition-column")
+        parallel = args.partition_column or args.product_partition_column
+        if (parallel is None) != (args.partitions is None):
+            parser.error("a partition column and --partitions go together")
+        column = args.partition_column
+        args.bounds = (column, args.lower, args.upper, args.partitions) if column else None
+        column = args.product_partition_column
+        args.product_bounds = (column, None, None, args.partitions) if column else None
     return args
 
 
@@ -86,18 +97,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ingest":
         props = dict(item.split("=", 1) for item in args.property)
         offers = read_jdbc(spark, args.url, args.offers, props, args.bounds)
-        product = read_jdbc(spark, args.url, args.product, props).selectExpr(
-            "trim(cast(product_key AS string)) AS product_key", "product_desc"
+        product = read_jdbc(spark, args.url, args.product, props, args.product_bounds).selectExpr(
+            "product_key", "product_desc"
         )
+        product = normalise_keys(product, ["product_key"])
         plans = ingest_cycle_discounts(normalise(offers, "discount_offers"), product)
         write_snapshot(plans, args.out, fmt="parquet", files=args.files)
         return
+    losses = CastLosses() if args.count_losses else None
     tables = read_domain(
-        spark, args.root, JOB_TABLES[args.job], getattr(args, "period", None), args.plan_list
+        spark, args.root, JOB_TABLES[args.job], getattr(args, "period", None), args.plan_list, losses
     )
     now = args.run_ts or datetime.now()
     with scratch(spark):
         write_report(args, reduced_lists(tables, args.job), now)
+    if losses:
+        print(json.dumps(losses.counts()))
 
 
 def write_report(args: argparse.Namespace, tables: dict[str, DataFrame], now: datetime) -> None:

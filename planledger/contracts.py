@@ -11,7 +11,7 @@ column's own type, and texts are trimmed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 KEY = "key"
 CODE = "code"
@@ -122,13 +122,46 @@ def normalise_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({key: F.expr(key_text(f"`{key}`", kinds[key])) for key in keys})
 
 
-def normalise(df: DataFrame, table: str) -> DataFrame:
-    """Select the contract's columns in its types.
+class CastLosses:
+    """Counts, as the tables are read for a report, of values that a cast lost and of keys that are null.
+
+    The counts come with the first action that reads a table; no job runs for them. To see every
+    row they are taken before any filter, which then isn't pushed to the files, so they cost
+    reading. Rows that one action reads again (a global sort, a stage recomputed after a lost
+    executor) count again.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, table: str, casts: dict[str, str], keys: list[str]) -> DataFrame:
+        """``df`` with its counts taken: of each of ``casts`` (column: type), and of null ``keys``."""
+        counts = [
+            F.count_if(F.col(name).isNotNull() & F.expr(f"try_cast(`{name}` AS {kind}) IS NULL")).alias(f"{name} lost")
+            for name, kind in casts.items()
+        ]
+        counts += [F.count_if(F.col(name).isNull()).alias(f"{name} null") for name in keys]
+        if not counts:
+            return df
+        self._seen[table] = Observation()
+        return df.observe(self._seen[table], F.count(F.lit(1)).alias("rows"), *counts)
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Per table its rows and its losses, once an action has read it."""
+        return {table: dict(seen.get) for table, seen in self._seen.items()}
+
+
+def normalise(df: DataFrame, table: str, losses: CastLosses | None = None) -> DataFrame:
+    """Select the contract's columns in its types; ``losses`` counts what that loses.
 
     A column that already has its type passes through untouched, so that
     filters on it still reach the parquet reader.
     """
     actual = {name.lower(): kind for name, kind in df.dtypes}
+    contract = TABLES[table]
+    if losses is not None:
+        casts = {name: kind for name, kind in contract.items() if kind not in (KEY, CODE) and actual[name] != kind}
+        df = losses.watch(df, table, casts, [name for name, kind in contract.items() if kind == KEY])
 
     def column(name: str, kind: str) -> str:
         if kind == CODE and is_number(actual[name]):
@@ -139,5 +172,4 @@ def normalise(df: DataFrame, table: str) -> DataFrame:
             return f"{name} AS {name}"
         return f"try_cast({name} AS {kind}) AS {name}"
 
-    columns = [column(name, kind) for name, kind in TABLES[table].items()]
-    return df.selectExpr(*columns)
+    return df.selectExpr(*[column(name, kind) for name, kind in contract.items()])

@@ -134,9 +134,23 @@ def billed_month(
     total: str = "arpu",
 ) -> DataFrame:
     """Billed recurring charges per subscriber in a ``yyyyMM`` period."""
-    condition = in_period(F.col(billed), period) & F.col(code).isin(*codes)
+    rows = recurring_charges(detail, segments, categories, codes, segment, category, code)
+    return rows.filter(in_period(F.col(billed), period)).groupBy(key).agg(F.sum(amount).alias(total))
+
+
+def recurring_charges(
+    detail: DataFrame,
+    segments: tuple | None = C.BILLING_SEGMENTS,
+    categories: tuple | None = C.PAYMENT_CATEGORIES,
+    codes: tuple = C.CHARGE_CODES,
+    segment: str = "customer_sub_type_desc",
+    category: str = "payment_category_desc",
+    code: str = "charge_code_id",
+) -> DataFrame:
+    """Billing lines of recurring charges to business customers."""
+    condition = F.col(code).isin(*codes)
     if segments is not None:
         condition = condition & F.col(segment).isin(*segments)
     if categories is not None:
         condition = condition & F.col(category).isin(*categories)
-    return detail.filter(condition).groupBy(key).agg(F.sum(amount).alias(total))
+    return detail.filter(condition)

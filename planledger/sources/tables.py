@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
-from planledger.contracts import normalise
+from planledger.contracts import TABLES, CastLosses, normalise
 
 SNAPSHOT_COLUMNS = ("year", "month", "day")
 
@@ -23,13 +23,15 @@ JOB_TABLES = {
 }
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, root: str, name: str, losses: CastLosses | None = None
+) -> DataFrame:
     """A table of ``root`` with its contract's columns, normalised.
 
     Only the selected columns are read from the files, and filters on non-key
     columns are pushed to the parquet reader.
     """
-    return normalise(spark.read.parquet(f"{root.rstrip('/')}/{name}"), name)
+    return normalise(spark.read.parquet(f"{root.rstrip('/')}/{name}"), name, losses)
 
 
 def dated_folders(
@@ -93,22 +95,66 @@ def period_partition(
     return df
 
 
+def _csv_reader(spark: SparkSession, schema: str, mode: str) -> DataFrameReader:
+    # Without pruning every row is cut into all its fields, and those with too few or too many are noticed.
+    return spark.read.schema(schema).options(header=True, delimiter=",", mode=mode, columnPruning=False)
+
+
+def _check_header(spark: SparkSession, path: str, names: list[str]) -> None:
+    """A known name at another one's place means that the columns are swapped."""
+    header = [name.strip().lower() for name in spark.read.options(header=True, delimiter=",").csv(path).columns]
+    wrong = [name for place, name in enumerate(header) if name in names and names.index(name) != place]
+    if wrong or len(header) != len(names):
+        raise ValueError(f"{path} has the columns {', '.join(header)} where {', '.join(names)} are read")
+
+
 def read_csv_list(
     spark: SparkSession,
     path: str,
     schema: str = "cod_plan string, descripcion string",
     rename: dict[str, str] | None = None,
+    bad_rows: str = "fail",
 ) -> DataFrame:
-    """A comma-separated list with a header line; columns bind by position."""
-    rows = (
-        spark.read.schema(schema).option("header", True).option("delimiter", ",").csv(path)
-    )
+    """A comma-separated list with a header line; columns bind by position.
+
+    The header may use other names, but not these in another order, nor more or fewer. Rows
+    with too few or too many fields end the read with an error that shows the first of them;
+    with ``bad_rows="keep"`` they are read as far as they go. ``rejected_rows`` lists them.
+    """
+    names = [part.split()[0].lower() for part in schema.split(",")]
+    _check_header(spark, path, names)
+    rows = _csv_reader(spark, schema, "FAILFAST" if bad_rows == "fail" else "PERMISSIVE").csv(path)
     return rows.withColumnsRenamed(rename or {"cod_plan": "product_key"})
 
 
-def read_plan_list(spark: SparkSession, path: str) -> DataFrame:
+def rejected_rows(
+    spark: SparkSession, path: str, schema: str = "cod_plan string, descripcion string"
+) -> DataFrame:
+    """(row): the lines of a list that have too few or too many fields, as they stand in the file."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "row"}
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(F.from_csv("value", f"{schema}, row string", options)["row"].alias("row")).filter("row is not null")
+
+
+def read_plan_list(spark: SparkSession, path: str, bad_rows: str = "fail") -> DataFrame:
     """The pay-per-use plan list with trimmed keys."""
-    return normalise(read_csv_list(spark, path), "plan_list")
+    return normalise(read_csv_list(spark, path, bad_rows=bad_rows), "plan_list")
+
+
+def _jdbc_reader(spark: SparkSession, url: str, table: str, props: dict[str, str] | None) -> DataFrameReader:
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **(props or {}))
+
+
+def jdbc_bounds(
+    spark: SparkSession, url: str, table: str, column: str, props: dict[str, str] | None = None
+) -> tuple[object, object] | None:
+    """The least and the greatest value of a column, asked of the database; null if it has none."""
+    names = _jdbc_reader(spark, url, table, props).load().columns
+    name = next((n for n in names if n.lower() == column.lower()), column)
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(name)
+    asked = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}) bounds"
+    low, high = _jdbc_reader(spark, url, asked, props).load().first()
+    return None if low is None else (low, high)
 
 
 def read_jdbc(
@@ -121,20 +167,31 @@ def read_jdbc(
     """A database table. ``bounds`` = (column, lower, upper, partitions) reads it in parallel.
 
     Without bounds Spark reads it over one connection in one task, so give them
-    for anything large. The bounds only place the splits; no row is left out.
+    for anything large. The column is a number, date or timestamp; with null for lower and
+    upper the database is asked for them. They only place the splits: no row is left
+    out, and rows without a value come with the first split.
+    """
+    reader = _jdbc_reader(spark, url, table, props)
+    if not bounds:
+        return reader.load()
+    column, lower, upper, partitions = bounds
+    if lower is None or upper is None:
+        found = jdbc_bounds(spark, url, table, column, props)
+        if found is None:
+            return reader.load()
+        lower, upper = found
+    return reader.options(
+        partitionColumn=column, lowerBound=str(lower), upperBound=str(upper), numPartitions=partitions
+    ).load()
+
+
+def read_bucketed(spark: SparkSession, tables: dict[str, str]) -> dict[str, DataFrame]:
+    """Source tables that ``sinks.write_bucketed`` stored: {contract's name: catalog's name}.
+
+    They are in their contract's types already, and their keys must not be touched: only so
+    does Spark know that a bucket holds all rows of its keys.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for key, value in (props or {}).items():
-        reader = reader.option(key, value)
-    if bounds:
-        column, lower, upper, partitions = bounds
-        reader = (
-            reader.option("partitionColumn", column)
-            .option("lowerBound", str(lower))
-            .option("upperBound", str(upper))
-            .option("numPartitions", partitions)
-        )
-    return reader.load()
+    return {name: spark.table(table).select(*TABLES[name]) for name, table in tables.items()}
 
 
 def read_domain(
@@ -143,11 +200,13 @@ def read_domain(
     names: tuple[str, ...],
     period: str | None = None,
     plan_list_path: str | None = None,
+    losses: CastLosses | None = None,
 ) -> dict[str, DataFrame]:
     """The named source tables found under one root folder.
 
     The parcs are dated by partition: the daily one is read at its latest date,
-    the monthly one at day 1 of ``period``. The plan list is a CSV file.
+    the monthly one at day 1 of ``period``. The plan list is a CSV file. ``losses`` counts
+    what casts lose in the others.
     """
 
     def table(name: str) -> DataFrame:
@@ -157,6 +216,6 @@ def read_domain(
             return read_dated(spark, root, name)
         if name == "parc_coliving":
             return read_dated(spark, root, name, period)
-        return read_table(spark, root, name)
+        return read_table(spark, root, name, losses)
 
     return {name: table(name) for name in names}
