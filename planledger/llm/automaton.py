@@ -169,7 +169,8 @@ class Automaton:
         it is matched) and end (exclusive), over the whole of ``buf``.
 
         The buffer is cut behind reset bytes into lanes of about ``lane`` bytes
-        which advance together, a byte of each at a time.
+        which advance together, a byte of each at a time. Where no reset byte comes for
+        longer, it is cut anywhere, and the states that such lanes begin in are found first.
         """
         rules = int(self.matched.max()).bit_length()
         if not len(buf):
@@ -177,24 +178,22 @@ class Automaton:
         cuts = np.flatnonzero(self.resets[buf]) + 1
         cuts = np.append(cuts[cuts < len(buf)], len(buf))
         keep = np.flatnonzero(np.diff(np.append(-1, cuts // lane)))
-        starts = np.unique(np.append(0, cuts[keep]))
-        starts = starts[starts < len(buf)]
+        hard = np.unique(np.append(0, cuts[keep]))
+        hard = hard[hard < len(buf)]
+        room = np.diff(np.append(hard, len(buf)))
+        parts = np.maximum(1, room // lane)
+        starts = np.repeat(hard, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * lane
         sizes = np.diff(np.append(starts, len(buf)))
-        order = np.argsort(-sizes, kind="stable")
-        starts, sizes = starts[order], sizes[order]
+        soft = np.ones(len(starts), bool)
+        soft[np.cumsum(parts) - parts] = False
         flat = np.ascontiguousarray(self.table.astype(np.int32) * 256).ravel()
+        begin = self._begins(buf, starts, sizes, soft, flat)
         states = np.empty(len(buf), np.int16)
-        now = np.zeros(len(starts), np.int32)
-        alive = len(starts)
-        for k in range(int(sizes[0])):
-            while sizes[alive - 1] <= k:
-                alive -= 1
-            at = starts[:alive] + k
-            now = flat[now[:alive] + buf[at]]
+        for at, now in _steps(buf, flat, starts, sizes, begin << 8):
             states[at] = now >> 8
         marks = self.matched[states]
         found = []
-        for r in range(int(self.matched.max()).bit_length()):
+        for r in range(rules):
             on = np.zeros(len(buf) + 2, np.int8)
             on[1:-1] = marks >> r & 1
             edge = np.diff(on)
@@ -202,6 +201,58 @@ class Automaton:
         return found
 
 
+    def _begins(self, buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, soft: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """The state that each lane begins in; behind a reset byte that is the start.
+
+        A lane that is followed by a soft cut is run from every state that it may begin in.
+        All states are tried over its first bytes, after which only a few different ones
+        are left; from those the lane is run to its end. Then lane after lane is looked up.
+        """
+        begin = np.zeros(len(starts), np.int32)
+        todo = np.flatnonzero(np.append(soft[1:], False))  # whose last state is asked for
+        count = len(self.table)
+        for low in range(0, len(todo), _TOGETHER):
+            own = todo[low : low + _TOGETHER]
+            lanes = np.repeat(own, count)
+            now = np.tile(np.arange(count, dtype=np.int32) << 8, len(own))
+            for k in range(min(_FIRST, int(sizes[own].min()))):
+                now = flat[now + buf[starts[lanes] + k]]
+            k = min(_FIRST, int(sizes[own].min()))
+            # The different states per lane, and which of them each first state led to.
+            pairs, back = np.unique((lanes << 32) + now, return_inverse=True)
+            rest = pairs >> 32
+            last = np.zeros(len(pairs), np.int32)
+            order = np.argsort(-sizes[rest], kind="stable")
+            alive = 0
+            for _, ends in _steps(buf, flat, starts[rest][order] + k, sizes[rest][order] - k, (pairs & 0xFFFFFFFF).astype(np.int32)[order]):
+                alive = len(ends)
+                last[order[:alive]] = ends
+            if not alive:
+                last = (pairs & 0xFFFFFFFF).astype(np.int32)
+            ends_of = (last[back.ravel()] >> 8).reshape(len(own), count)
+            for row, lane in enumerate(own.tolist()):
+                begin[lane + 1] = ends_of[row, begin[lane]]
+        return begin
+
+
+#: Lanes whose states are found together, and bytes over which all states are tried.
+_TOGETHER, _FIRST = 1024, 64
+
+
+def _steps(buf: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begin: np.ndarray):  # noqa: ANN202
+    """Advance lanes together: yields, a byte of each at a time, the places and the states behind
+    them (times 256) of the lanes that go on, the longest lanes first."""
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes, now = starts[order], sizes[order], begin[order]
+    alive = len(starts)
+    for k in range(int(sizes[0]) if len(sizes) else 0):
+        while sizes[alive - 1] <= k:
+            alive -= 1
+        at = starts[:alive] + k
+        now = flat[now[:alive] + buf[at]]
+        yield at, now
+
+
 def compile_rules(patterns: list[tuple[str, bool]]) -> Automaton:
     """``patterns``: (pattern, whether letters match in either case), one per rule."""
     rules = [_Pattern(pattern, fold) for pattern, fold in patterns]

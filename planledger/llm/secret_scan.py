@@ -2,8 +2,8 @@
 
 ``scan_secrets`` adds the spans found; ``redact_secrets`` writes a placeholder
 over them. The rules' patterns are compiled together (see ``automaton``). A match
-is a maximal matched stretch; where it begins is found by the same rule's pattern
-read backwards from where it ends. Spans are in code points, end exclusive,
+is a maximal matched stretch; where it begins is found by the same rule's pattern,
+searched forwards from the last place that no match crosses. Spans are in code points, end exclusive,
 leftmost and without overlap within a kind; a match whose secret part is shorter
 than the rule's ``least`` is dropped after it has been passed over.
 
@@ -78,16 +78,17 @@ def find_secrets(texts: pa.Array, rules: tuple[Rule, ...] = RULES) -> list[list[
         begins = offsets + spread
         data = None
         for order, (rule, pattern, (on, off)) in enumerate(zip(rules, whole, machine.match_ends(padded), strict=True)):
-            passed = 0
-            for a, b in zip(on.tolist(), off.tolist(), strict=True):
+            # Matches don't overlap: each begins behind the one before, which tells most short ones.
+            before = np.append(0, off[:-1])
+            long = off - before >= rule.least
+            for a, b, passed in zip(on[long].tolist(), off[long].tolist(), before[long].tolist(), strict=True):
                 data = data if data is not None else padded.tobytes()
                 row = int(np.searchsorted(begins, a, "right")) - 1
                 # Back to the last byte that resets the automaton: no match crosses it.
-                low = max(passed, int(begins[row]), _reset_before(machine, padded, a))
+                low = _reset_before(machine, padded, a, max(passed, int(begins[row])))
                 m = _start(data, pattern, low, a + 1, b)
                 if m is None:
                     raise AssertionError(f"the automaton and the pattern of {rule.kind} differ")
-                passed = b
                 if m.end(rule.group) - m.start(rule.group) >= rule.least:
                     out[first + row].append((order, m.start() - int(begins[row]), b - int(begins[row])))
         for row in range(end - first):
@@ -99,13 +100,14 @@ def find_secrets(texts: pa.Array, rules: tuple[Rule, ...] = RULES) -> list[list[
     return out
 
 
-def _reset_before(machine: Automaton, buf: np.ndarray, at: int) -> int:
+def _reset_before(machine: Automaton, buf: np.ndarray, at: int, floor: int) -> int:
+    """The place behind the last byte before ``at`` that resets the automaton, ``floor`` at least."""
     width = 256
     while True:
-        low = max(0, at - width)
+        low = max(floor, at - width)
         hits = np.flatnonzero(machine.resets[buf[low:at]])
-        if len(hits) or not low:
-            return low + int(hits[-1]) + 1 if len(hits) else 0
+        if len(hits) or low == floor:
+            return low + int(hits[-1]) + 1 if len(hits) else floor
         width *= 4
 
 
