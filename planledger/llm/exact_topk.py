@@ -26,11 +26,13 @@ from pyspark.sql import Column, DataFrame
 from planledger.llm.vectors import by_width, merge_best, search_in_blocks, usable
 
 #: Segments per level, coarse to fine.
-LEVELS = (4, 16)
+LEVELS = (4, 16, 32)
 #: Candidates looked at together.
 CHUNK = 2048
+#: Survivors whose scores are computed together.
+PAIRS = 1 << 16
 _LEAST = np.iinfo(np.int64).min
-#: Above this share of pairs left, a level is computed for all pairs at once.
+#: Above this share of pairs left, a level's bounds are computed for all pairs at once.
 _DENSE = 0.05
 
 
@@ -66,8 +68,8 @@ class QueryBlock:
             rows, cols = (a.ravel() for a in np.indices((len(self.ids), len(ids))))
         own = self.ids[rows] != ids[cols]
         rows, cols = rows[own], cols[own]
-        for low in range(0, len(rows), 1 << 18):
-            r, c = rows[low : low + (1 << 18)], cols[low : low + (1 << 18)]
+        for low in range(0, len(rows), PAIRS):
+            r, c = rows[low : low + PAIRS], cols[low : low + PAIRS]
             if exact_floats:
                 score = np.einsum("ij,ij->i", self.x[r], x[c]).astype(np.int64)
             else:
@@ -93,10 +95,6 @@ class QueryBlock:
             else:
                 keep = np.einsum("ij,ij->i", own[rows], other[cols]) >= least[rows]
                 rows, cols = rows[keep], cols[keep]
-        if len(rows) > _DENSE * len(self.ids) * len(x):
-            # Many are left: one product of the matrices drops what is below the threshold.
-            keep = (self.x @ x.T)[rows, cols] >= least[rows]
-            rows, cols = rows[keep], cols[keep]
         return rows, cols
 
 

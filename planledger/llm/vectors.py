@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from planledger.llm.storage import new_folder
+from planledger.llm.storage import new_folder, saved
 
 #: Queries per block; a block goes to every task, so its size is what bounds a task's memory.
 QUERY_BLOCK = 4096
@@ -36,18 +36,21 @@ def search_in_blocks(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the best ``k`` of what ``search`` finds for each query.
 
-    Queries, one for each id, are dealt by hash into blocks of about QUERY_BLOCK. Each
-    block in turn is handed to ``search`` as {length: (ids, matrix)}, and its result
-    written; nothing else of the queries is held.
+    Queries, one for each id, are read once, and dealt by hash into blocks of about
+    QUERY_BLOCK, each in a folder of its own. Each block in turn is handed to ``search`` as
+    {length: (ids, matrix)}, and its result written; nothing else of the queries is held.
     """
     spark = queries.sparkSession
-    one = queries.groupBy("id").agg(F.min("v").alias("v"))
+    one = saved(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
     blocks = max(1, -(-one.count() // QUERY_BLOCK))
-    folder = new_folder(spark, "found")
+    asked, folder = new_folder(spark, "blocks"), new_folder(spark, "found")
+    dealt = one.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    dealt.repartition("block").write.partitionBy("block").parquet(asked)
+    held_queries = spark.read.schema("id long, v array<double>, block long").parquet(asked)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     schema = f"query_id long, rank int, vec_id long, score {score}"
     for block in range(blocks):
-        rows = one.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).collect()
+        rows = held_queries.filter(F.col("block") == block).collect()  # the block's own folder only
         widths: dict[int, list] = {}
         for row in rows:
             widths.setdefault(len(row["v"]), []).append(row)

@@ -55,6 +55,42 @@ def test_exact_top_k(spark, monkeypatch):
     assert exact_topk.exact_top_k(spark.createDataFrame([], VECTORS), F.lit(True)).count() == 0
 
 
+def test_queries_are_read_once_however_many_blocks_there_are(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 3)
+    rows = [(k, [float(k), 1.0]) for k in range(40)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def reading(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    asked = spark.createDataFrame(rows, "id long, v array<double>").mapInArrow(reading, "id long, v array<double>")
+    blocks = []
+
+    def search(held):
+        blocks.append(sorted(i for ids, _ in held.values() for i in ids.tolist()))
+        own = [(i, i, 1) for i in blocks[-1]]
+        return spark.createDataFrame(own, "query_id long, vec_id long, score long")
+
+    found = vectors.search_in_blocks(asked, 5, search, "long")
+    assert sorted(r.query_id for r in found.collect()) == list(range(40)) == sorted(sum(blocks, []))
+    assert len(blocks) == 14 and seen.value == 40
+
+
+def test_survivors_are_computed_without_the_whole_product():
+    """Few pairs pass the finest level; those that score high enough all do."""
+    rng = np.random.default_rng(3)
+    x = np.floor(1024 * np.cumsum(rng.normal(size=(600, 64)), axis=1) / 8)
+    block = exact_topk.QueryBlock(np.arange(20), x[:20], 10)
+    block.look(np.arange(100, 300), x[100:300])
+    norms = np.linalg.norm(x[300:], axis=1)
+    rows, cols = block._survivors(x[300:], norms)
+    good = np.argwhere(x[:20] @ x[300:].T >= block.scores[:, -1:])
+    assert {(a, b) for a, b in good.tolist()} <= set(zip(rows.tolist(), cols.tolist()))
+    assert len(rows) < 0.2 * 20 * 300
+
+
 def test_segment_statistics_bound_inner_products():
     rng = np.random.default_rng(1)
     a, b = rng.normal(size=(50, 37)), rng.normal(size=(60, 37))
