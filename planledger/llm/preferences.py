@@ -27,13 +27,13 @@ def _render(turns: Column) -> Column:
 
 def _trained_spans(turns: str, roles: tuple[str, ...]) -> Column:
     """(start, end) of what counts within the rendered ``turns``; the line break behind the end mark doesn't."""
-    names = ", ".join("'" + r.replace("\\", "\\\\").replace("'", "\\'") + "'" for r in roles)
+    names = ", ".join("'" + r.replace("\\", "\\\\").replace("'", "\\'") + "'" for r in roles) or "null"
     head, tail = len(OPEN) + len(CLOSE), len(END)
     return F.expr(f"""aggregate({turns},
         named_struct('at', cast(0 as bigint), 'spans', cast(array() as array<struct<start:bigint,end:bigint>>)),
         (a, t) -> named_struct(
             'at', a.at + length(t.role) + length(t.text) + {head + tail},
-            'spans', if(t.role in ({names}), concat(a.spans, array(named_struct(
+            'spans', if(coalesce(t.role in ({names}), false), concat(a.spans, array(named_struct(
                 'start', a.at + length(t.role) + {head},
                 'end', a.at + length(t.role) + length(t.text) + {head + tail - 1}))), a.spans)),
         a -> a.spans)""")

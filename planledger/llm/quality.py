@@ -10,7 +10,8 @@ shares. The network (tanh, then logistic) is fitted in numpy on at most
 ``max_train`` labelled rows, which ``usable`` admits; of these a fifth sets the
 temperature of the probabilities.
 
-Null and empty texts have all-zero features and get the score those give. Labels
+Null and empty texts have all-zero features and get the score those give. Of rows that
+share an id only the text with the smallest hash is learned from; all are scored. Labels
 other than 0 and 1 are ignored, of a repeated label row the smallest counts, and
 labels of absent documents have no effect. Without labels of both kinds the score
 is (1 + ones) / (2 + rows) for all. Only the text enters a score.
@@ -118,7 +119,9 @@ def features(texts: pa.Array, table: np.ndarray) -> np.ndarray:
         total = np.append(0, np.cumsum(_UPPER[buf]))
         upper = np.diff(total[offsets])[some] / np.diff(offsets)[some]
         marks = np.add.reduceat((_KIND[buf[starts]] == 3).astype(np.float32), at) / n[:, 0]
-        again = np.add.reduceat(np.append(False, bucket[1:] == bucket[:-1]).astype(np.float32), at) / n[:, 0]
+        same = np.append(False, bucket[1:] == bucket[:-1])
+        same[at] = False  # a text's first unit has none before it
+        again = np.add.reduceat(same.astype(np.float32), at) / n[:, 0]
         rows = first + some
         out[rows, :WIDTH], out[rows, WIDTH : 2 * WIDTH] = mean, spread
         out[rows, 2 * WIDTH :] = np.column_stack([upper, marks, again, np.log1p(n[:, 0]) / 10])
@@ -196,11 +199,13 @@ def fit(
             rows = features(batch.column(2), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(rows), pa.list_(pa.float32()))], names=["k", "y", "x"])
 
-    own = docs.select(F.col(key), F.col(text).alias("__text")).join(F.broadcast(picked), key).select(
-        F.col(key).cast("string").alias("k"), F.col("__label").cast("int").alias("y"), "__text"
+    # Of rows that share an id one text is learned from, whichever task has read it.
+    texts = docs.select(key, F.struct(F.xxhash64(text), F.col(text).alias("text")).alias("__one")).join(F.broadcast(picked), key)
+    own = texts.groupBy(key).agg(F.min("__one").alias("__one"), F.min("__label").alias("__label")).select(
+        F.col(key).cast("string").alias("k"), F.col("__label").cast("int").alias("y"), F.col("__one.text").alias("__text")
     )
-    found = own.mapInArrow(pooled, "k string, y int, x array<float>").limit(2 * max_train).collect()
-    found.sort(key=lambda row: (row["k"], row["x"]))
+    found = own.mapInArrow(pooled, "k string, y int, x array<float>").collect()  # max_train rows at most
+    found.sort(key=lambda row: row["k"])
     y = np.array([row["y"] for row in found], np.float64)
     if not len(y) or y.min() == y.max():
         return Model(table, float((1 + y.sum()) / (2 + len(y))))

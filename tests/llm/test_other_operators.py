@@ -166,6 +166,12 @@ def test_preferences(spark):
     assert preferences.format_preferences(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_no_role_need_be_trained(spark):
+    turns = spark.createDataFrame([(1, "chosen", 0, "user", "a"), (1, "chosen", 1, "assistant", "b"), (1, "rejected", 0, "user", "c")], TURNS)
+    row = preferences.format_preferences(turns, trained=()).first()
+    assert row["chosen_spans"] == row["rejected_spans"] == [] and row["chosen"]
+
+
 def test_mismatched_replies(spark):
     said = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (0, 2, "user", "c"), (1, 0, "user", "d"), (1, 1, "assistant", "e"),
             (2, 0, "user", "f"), (2, 1, "assistant", None), (4, 0, "user", "g"), (None, 0, "user", "h"), (5, None, "user", "i")]

@@ -439,6 +439,58 @@ def test_quality_learns_and_is_calibrated(spark):
     assert quality.score_quality(frame(spark, []), none).count() == 0
 
 
+def plain_features(texts):
+    """Word vectors and features one unit at a time, as the module's docstring says."""
+    bucket_of, lists = {}, []
+    for text in texts:
+        found = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0d]+", (text or "").encode())
+        for unit in found:
+            one = np.frombuffer(unit, np.uint8)
+            bucket_of[unit] = int(span_hashes(one, np.array([0]), np.array([len(one)]))[0] >> np.uint64(51))
+        lists.append([(unit, bucket_of[unit]) for unit in found])
+    table = np.zeros((quality.BUCKETS, quality.WIDTH))
+    for found in lists:
+        for (_, one), (_, two) in zip(found, found[1:]):
+            for own, other in ((one, two), (two, one)):
+                for spot, sign in zip(quality._SPOTS[other], quality._SIGNS[other]):
+                    table[own, spot] += sign
+    table = np.sign(table) * np.sqrt(np.abs(table))
+    table = (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    rows = np.zeros((len(texts), quality.N_FEATURES))
+    for k, (text, found) in enumerate(zip(texts, lists)):
+        if not found:
+            continue
+        own = np.array([table[b] for _, b in found], np.float64)
+        raw = text.encode()
+        marks = sum(not re.match(rb"[A-Za-z0-9\x80-\xff]", unit) for unit, _ in found)
+        again = sum(a == b for (_, a), (_, b) in zip(found, found[1:]))
+        shares = [len(re.findall(rb"[A-Z]", raw)) / len(raw), marks / len(found), again / len(found), np.log1p(len(found)) / 10]
+        rows[k] = [*own.mean(axis=0), *np.sqrt(np.maximum((own**2).mean(axis=0) - own.mean(axis=0) ** 2, 0)), *shares]
+    return table, rows
+
+
+def test_word_vectors_and_features_match_a_plain_version(spark):
+    rng = random.Random(31)
+    bits = ["word", "Ünï", "A", "12", "!?", "...", " ", "  ", "\n", "x1y", "語", "the", "the", "of"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(120)] + [None, "", " \n", "a"]
+    table, rows = plain_features(texts)
+    got = quality.word_vectors(frame(spark, list(enumerate(texts))).repartition(3))
+    assert np.allclose(got, table, atol=1e-6)
+    assert np.allclose(quality.features(pa.array(texts), got), rows, atol=1e-4)
+
+
+def test_the_model_does_not_depend_on_which_of_repeated_ids_comes_first(spark):
+    rng = random.Random(32)
+    good, bad = ("clean words of a calm page here", "zz zz !! buy NOW 99 !!")
+    rows = [(k % 40, " ".join(rng.choice((good, bad)[k % 2].split()) for _ in range(20))) for k in range(240)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    scores = []
+    for order in (rows, rows[::-1]):
+        model = quality.fit(frame(spark, order).repartition(3), labels, F.lit(True), max_train=30)
+        scores.append(model.scores(quality.features(pa.array([t for _, t in rows]), model.table)))
+    assert np.array_equal(*scores)
+
+
 def test_word_vectors_do_not_depend_on_partitioning(spark):
     docs = frame(spark, [(k, f"a{k} b c. d{k % 3}") for k in range(50)])
     assert (quality.word_vectors(docs.repartition(1)) == quality.word_vectors(docs.repartition(7))).all()
