@@ -14,13 +14,16 @@ component is done. In the others, members of different components may still be s
 Small ones are compared pair by pair. The documents of larger ones are banded anew, by
 so many values that a band lets few pairs through that are not similar enough, and in so
 many bands that one in a million pairs at the threshold is missed (at 0.85, 44 bands of
-eight values). These buckets are again compared with their smallest member first, and
-pair by pair where several components are left. Pairs whose signatures agree too rarely
-go before full sets are fetched.
+eight values). These buckets are again compared with their smallest member first. Where
+several components are left, two similar documents either share a shingle that few have,
+and are found by it, or have only common ones in common; how many of these each has
+bounds their similarity, and pairs whose bound is high enough are compared. Pairs whose
+signatures agree too rarely go before full sets are fetched.
 
-So families of documents that share much but are not similar, such as pages of one
-template, meet rarely: two at similarity 0.33 with probability 0.006, at 0.5 with 0.16.
-A family close below the threshold stays dear: at 0.75 most of its pairs are compared.
+So documents that share much without being similar, such as pages of one template, meet
+rarely: two at similarity 0.33 with probability 0.006, at 0.5 with 0.16; and copies with
+edits of their own are told apart by counting these. A family that is close below the
+threshold by common shingles alone stays dear: at 0.75 most of its pairs are compared.
 
 Null and empty texts and texts without words have the empty set and link with
 nothing. Rows without key link with nothing and stay: their component is null.
@@ -46,6 +49,8 @@ from planledger.operators.joins import split_join
 BANDS = 28
 #: Buckets up to this size are compared pair by pair, the documents of larger ones are banded anew.
 SMALL_BUCKET = 4
+#: A shingle that at most this many documents of open buckets have is rare.
+RARE = 8
 #: What part of the pairs at the threshold the steep bands may miss, and the signature check may drop.
 MISSED, DROPPED = 1e-6, 1e-8
 #: Steep bands at most, and permutations whose values make a signature.
@@ -230,14 +235,50 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return saved(split_join(found, mixed, "key", "inner"), "open")
 
 
-def _pairs_within(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within buckets: (key, rep, label, n)."""
-    left = members.select("key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    right = members.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-    close = f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+def _pairs_within(members: DataFrame, percent: int, first: str = "") -> DataFrame:
+    """Pairs (a, b) of different components within buckets (key, rep, label, n, k) that may be similar
+    if they share at most min(k) shingles. With ``first``, the column of a document's keys,
+    each pair comes from the first bucket that both are in."""
+    columns = ["label", "n", "k", *([first] if first else [])]
+    left, right = (members.select("key", F.col("rep").alias(x), *[F.col(c).alias(c + x) for c in columns]) for x in "ab")
+    close = f"a < b and labela <> labelb and 100 * least(ka, kb) >= {percent} * (na + nb - least(ka, kb))"
+    if first:
+        close += f" and key = array_intersect({first}a, {first}b)[0]"
     return left.join(right, "key").filter(close).select("a", "b")
 
 
+def rare_shingles(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, label, s, mixed): the shingles of the documents (rep, label) that at most RARE of them
+    have, and whether documents of several components do.
+
+    Each task counts by some thousand documents first. What more than RARE of those have is
+    passed on as one row, so that a shingle that all documents share makes few rows.
+    """
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            offsets = column.offsets.to_numpy()
+            flat = column.values.to_numpy()[offsets[0] : offsets[-1]]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            values, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            few = counts[back] <= RARE
+            rows = pa.array(row[few])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(flat[few]), pa.array(np.ones(len(rows), np.int64))],
+                names=["rep", "label", "s", "c"],
+            )
+            common = counts > RARE
+            nobody = pa.nulls(int(common.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([nobody, nobody, pa.array(values[common]), pa.array(counts[common])], names=["rep", "label", "s", "c"])
+
+    own = docs.join(sets.withColumnRenamed("doc", "rep"), "rep").select("rep", "label", "shingles")
+    tokens = saved(own.mapInArrow(local, "rep long, label long, s long, c long"), "tokens")
+    spread = tokens.groupBy("s").agg(F.sum("c").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"))
+    rare = spread.filter(F.col("df") <= RARE).select("s", (F.col("low") != F.col("high")).alias("mixed"))
+    return saved(split_join(tokens.filter("rep is not null").drop("c"), rare, "s", "inner"), "rare")
+
+
 def steep_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, n, keys, signature) of the documents in open buckets, by the steep bands."""
     bands, permutations = steep_shape(percent)
@@ -292,16 +333,24 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _steep_links(members: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between different components among the documents of open buckets."""
     steep = saved(steep_members(members, sets, percent), "steep")
+    rare = rare_shingles(members.select("rep", "label").distinct(), sets)
+    # Similar documents share a rare shingle, of which each has few holders ...
+    left, right = (rare.filter("mixed").select("s", F.col("rep").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    sharing = left.join(right, "s").filter("a < b and la <> lb").select("a", "b")
+    # ... or have only common ones in common, at most as many (k) as either has of these.
+    few = rare.groupBy("rep").agg(F.count("*").alias("r"))
+    known = saved(steep.select("rep", "n", "keys").join(few, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("r", F.lit(0))).alias("k"), "keys"), "known")
     small = members.filter((F.col("size") <= SMALL_BUCKET) & (F.col("rep") != F.col("centre")))
     banded = steep.select(F.explode("keys").alias("key"), "rep", "n")
     still = _labelled(banded, labels)
     star = still.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-    near = saved(alike(_pairs_within(small, percent).unionByName(star), steep, percent), "pairs")
+    own = small.drop("n").join(known, "rep")
+    near = saved(alike(_pairs_within(own, percent).unionByName(star).unionByName(sharing), steep, percent), "pairs")
     found = saved(confirmed(near, sets, percent), "links")
     if found.limit(1).count():
         labels = connected_components(links.unionByName(found))
         still = _labelled(still.select("key", "rep", "n"), labels)
-    near = saved(alike(_pairs_within(still, percent), steep, percent), "pairs")
+    near = saved(alike(_pairs_within(still.drop("n").join(known, "rep"), percent, "keys"), steep, percent), "pairs")
     return found.unionByName(saved(confirmed(near, sets, percent), "links"))
 
 
